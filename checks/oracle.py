@@ -16,8 +16,8 @@ EDA = ["num_sessions", "session_interval_hours", "avg_session_length", "count_so
 _agent_cases = " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(AGENTS))
 
 
-def r(expression: str, digits: int = 6) -> str:
-    return f"round({expression}, {digits})"
+def r(expression: str, digits: int | None = 6) -> str:
+    return expression if digits is None else f"round({expression}, {digits})"
 
 
 def _values(name: str, items: list[str]) -> str:
@@ -43,7 +43,7 @@ def _rate(source: str) -> str:
         count(DISTINCT CASE WHEN churn = 0 THEN "userId" END) AS non_churners,
         count(DISTINCT CASE WHEN churn = 1 THEN "userId" END) AS churners,
         {r('''100.0 * count(DISTINCT CASE WHEN churn = 1 THEN "userId" END)
-              / CAST(count(DISTINCT "userId") AS DOUBLE)''')} AS churn_rate
+              / CAST(count(DISTINCT "userId") AS DOUBLE)''', None)} AS churn_rate
         FROM {source} JOIN label USING ("userId") WHERE category IS NOT NULL GROUP BY feature, category"""
 
 
@@ -55,9 +55,9 @@ def _numeric_stats(log: str, tag: str) -> dict[str, str]:
         f"label{tag}": f"""SELECT "userId", max(CASE WHEN page = 'Cancellation Confirmation' THEN 1 ELSE 0 END)
             AS churn FROM {log} GROUP BY ALL""",
         f"eda_sess{tag}": f"""SELECT "userId", count(*) AS num_sessions,
-            CASE WHEN count(*) > 1 THEN CAST(trunc(((max(b) - min(a)) / 3600000.0
-                - CAST(sum(b - a) AS BIGINT) / 3600000.0) / (count(*) - 1)) AS INTEGER) END AS session_interval_hours,
-            avg((b - a) / 60000.0) AS avg_session_length FROM sess{tag} GROUP BY ALL""",
+            CASE WHEN count(*) > 1 THEN CAST(trunc(CAST(max(b) - min(a) - sum(b - a) AS DOUBLE) / 3600000.0
+                / (count(*) - 1)) AS INTEGER) END AS session_interval_hours,
+            avg(b - a) / 60000.0 AS avg_session_length FROM sess{tag} GROUP BY ALL""",
         f"eda_log{tag}": f"""SELECT "userId", count(*) AS count_songs,
             count(DISTINCT artist) + max(CASE WHEN artist IS NULL THEN 1 ELSE 0 END) AS count_unique_artists,
             count(DISTINCT song) + max(CASE WHEN song IS NULL THEN 1 ELSE 0 END) AS count_unique_songs,
@@ -65,13 +65,13 @@ def _numeric_stats(log: str, tag: str) -> dict[str, str]:
             FROM {log} GROUP BY ALL""",
         f"eda{tag}": f"""SELECT * FROM label{tag} JOIN eda_sess{tag} USING ("userId")
             JOIN eda_log{tag} USING ("userId")""",
-        f"eda_long{tag}": "SELECT churn, metric, round(value, 6) AS value FROM ("
+        f"eda_long{tag}": "SELECT churn, metric, value FROM ("
         + _stack(f"eda{tag}", EDA, ["churn"], "metric", "value")
         + ") WHERE value IS NOT NULL",
         f"eda_stats{tag}": f"""SELECT metric, churn, count(*) AS n, {r('avg(value)')} AS mean,
             {r('stddev_samp(value)')} AS std, min(value) AS min, max(value) AS max,
-            {r('quantile_cont(value, 0.25)')} AS q1, {r('quantile_cont(value, 0.5)')} AS median,
-            {r('quantile_cont(value, 0.75)')} AS q3 FROM eda_long{tag} GROUP BY metric, churn""",
+            {r('quantile_cont(value, 0.25)', 8)} AS q1, {r('quantile_cont(value, 0.5)', 8)} AS median,
+            {r('quantile_cont(value, 0.75)', 8)} AS q3 FROM eda_long{tag} GROUP BY metric, churn""",
     }
 
 
@@ -96,8 +96,6 @@ _feature_sql = {
     **{c: f"s.{c}" for c in ("avg_songs_per_session", "avg_session_length", "total_hours", "session_interval")},
     **{page_slug(p) + "_hourly": f"coalesce(u.{page_slug(p)} / nullif(s.total_hours, 0), 0)" for p in RATED_PAGES},
 }
-_integers = {"gender", "level", "count_logs", "count_sessions", "count_distinct_artists", "count_songs",
-             "count_distinct_songs"}
 
 CTES = {
     "raw": """SELECT e.*, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id % 50 = 0 AS anon
@@ -152,11 +150,11 @@ CTES = {
         count(DISTINCT song) AS count_distinct_songs, sum(length) / 60000.0 AS sum_length_minutes,
         (max(ts) - max(registration)) / 86400000.0 AS days_since_registration FROM log GROUP BY "userId" """,
     "per_session": """SELECT "userId", avg(songs) AS avg_songs_per_session,
-        avg((b - a) / 60000.0) AS avg_session_length, sum((b - a) / 60000.0) / 60 AS total_hours,
-        CASE WHEN count(*) > 1 THEN ((max(b) - min(a)) / 60000.0 - sum(b - a) / 60000.0) / (count(*) - 1)
+        avg(b - a) / 60000.0 AS avg_session_length, CAST(sum(b - a) AS DOUBLE) / 3600000.0 AS total_hours,
+        CASE WHEN count(*) > 1 THEN CAST(max(b) - min(a) - sum(b - a) AS DOUBLE) / 60000.0 / (count(*) - 1)
              ELSE 0 END AS session_interval FROM sess GROUP BY "userId" """,
     "feat": 'SELECT l."userId", l.churn, '
-    + ", ".join(f"{e if c in _integers else r(e)} AS \"{c}\"" for c, e in ((c, _feature_sql[c]) for c in FEATURES))
+    + ", ".join(f"{r(e, 7) if c == 'sum_length_minutes' else e} AS \"{c}\"" for c, e in ((c, _feature_sql[c]) for c in FEATURES))
     + """, u.n_rated FROM label l JOIN last_row i USING ("userId") JOIN use u USING ("userId")
         JOIN overall o USING ("userId") JOIN per_session s USING ("userId")""",
     # Unrounded features for statistics over the table.
@@ -247,7 +245,7 @@ def _range(columns: list[str]) -> str:
 
 def _minmax() -> str:
     cells = ", ".join(
-        f"""{r(f'CASE WHEN min("{c}") OVER () = max("{c}") OVER () THEN 0.5 ELSE ("{c}" - min("{c}") OVER ()) / CAST(max("{c}") OVER () - min("{c}") OVER () AS DOUBLE) END')} AS "{c}" """
+        f"""{r(f'CASE WHEN min("{c}") OVER () = max("{c}") OVER () THEN 0.5 ELSE ("{c}" - min("{c}") OVER ()) / CAST(max("{c}") OVER () - min("{c}") OVER () AS DOUBLE) END', 7 if c == 'sum_length_minutes' else None)} AS "{c}" """
         for c in FEATURES
     )
     return f'SELECT "userId", churn, {cells} FROM exact'
@@ -258,11 +256,11 @@ def _confusion() -> str:
     q = lambda a, b: f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0)"
     n = "(tp + fp + tn + fn)"
     s1, s0 = q("(tp + fn)", n), q("(tn + fp)", n)
-    return f"""SELECT level, tp, fp, tn, fn, {r(q('(tp + tn)', n))} AS accuracy,
-        {r(f"{s1} * {q('2 * tp', '(2 * tp + fp + fn)')} + {s0} * {q('2 * tn', '(2 * tn + fp + fn)')}")} AS f1_score,
-        {r(f"{s1} * {q(tp, '(tp + fp)')} + {s0} * {q(tn, '(tn + fn)')}")} AS precision,
-        {r(f"{s1} * {q(tp, '(tp + fn)')} + {s0} * {q(tn, '(tn + fp)')}")} AS recall,
-        {r(f"({q(tp, '(tp + fn)')} + {q(tn, '(tn + fp)')}) / 2")} AS auc_hard FROM (
+    return f"""SELECT level, tp, fp, tn, fn, {r(q('(tp + tn)', n), 8)} AS accuracy,
+        {r(f"{s1} * {q('2 * tp', '(2 * tp + fp + fn)')} + {s0} * {q('2 * tn', '(2 * tn + fp + fn)')}", 8)} AS f1_score,
+        {r(f"{s1} * {q(tp, '(tp + fp)')} + {s0} * {q(tn, '(tn + fn)')}", 8)} AS precision,
+        {r(f"{s1} * {q(tp, '(tp + fn)')} + {s0} * {q(tn, '(tn + fp)')}", 8)} AS recall,
+        {r(f"({q(tp, '(tp + fn)')} + {q(tn, '(tn + fp)')}) / 2", 8)} AS auc_hard FROM (
         SELECT level, count(*) FILTER (churn = 1 AND p = 1) AS tp, count(*) FILTER (churn = 0 AND p = 1) AS fp,
         count(*) FILTER (churn = 0 AND p = 0) AS tn, count(*) FILTER (churn = 1 AND p = 0) AS fn FROM
         (SELECT level, churn, CASE WHEN avg_songs_per_session < 0.5 THEN 1 ELSE 0 END AS p FROM exact)
@@ -271,7 +269,7 @@ def _confusion() -> str:
 
 def _histogram() -> str:
     bins = " ".join(f"WHEN '{m}' THEN {n}" for m, n in BINS.items())
-    return f"""SELECT metric, churn, bin, n, {r('100.0 * n / CAST(sum(n) OVER (PARTITION BY metric, churn) AS DOUBLE)')}
+    return f"""SELECT metric, churn, bin, n, 100.0 * n / CAST(sum(n) OVER (PARTITION BY metric, churn) AS DOUBLE)
         AS percent FROM (SELECT metric, churn, CAST(least(coalesce(floor((value - lo) / nullif((hi - lo) / nb, 0)), 0),
         nb - 1) AS INTEGER) AS bin, count(*) AS n FROM (SELECT *, min(value) OVER (PARTITION BY metric) AS lo,
         max(value) OVER (PARTITION BY metric) AS hi, CASE metric {bins} END AS nb FROM eda_long_all)
@@ -290,7 +288,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_csv": f"""SELECT feature, category, churn_rate, 'all' AS dataset FROM ({_rate('table_cats')})""",
         "sink_json": f"SELECT {LOG_COLUMNS} FROM activity",
         "sink_parquet": f"SELECT {LOG_COLUMNS} FROM activity",
-        "sink_csv": f"""SELECT "userId", "sessionId", {r('(b - a) / 60000.0')} AS duration FROM sess""",
+        "sink_csv": f"""SELECT "userId", "sessionId", (b - a) / 60000.0 AS duration FROM sess""",
         "load_features": f'SELECT "userId", churn, {feature_columns} FROM feat',
         "table_shape": f"SELECT count(*) AS n_rows, {len(EVENT_SCHEMA.names)} AS n_columns FROM activity",
         "schema_table": _schema_rows(),
@@ -313,7 +311,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE artist IS NOT NULL AND song IS NOT NULL AND length IS NOT NULL""",
         "range_summary": _range(["time", "registration_time", "date", "registration_date", "weekday", "day", "hour"]),
         "activity_totals": f"""SELECT count(DISTINCT "userId") AS n_users, count(DISTINCT "sessionId") AS n_sessions,
-            count(*) AS n_logs, {r('CAST(count(*) AS DOUBLE) / count(DISTINCT "userId")')} AS logs_per_user FROM log""",
+            count(*) AS n_logs, CAST(count(*) AS DOUBLE) / count(DISTINCT "userId") AS logs_per_user FROM log""",
         "preview": """SELECT * EXCLUDE ("firstName", "lastName", location) FROM log
             ORDER BY ts, "userId", page, level LIMIT 20""",
         "clean_identified": f"SELECT {LOG_COLUMNS} FROM log",
@@ -361,9 +359,9 @@ def oracle_sql() -> dict[str, str]:
             ({_categories('seg', ['status', 'state', 'weekday', 'day', 'hour'], '"userId", ')})
             JOIN label USING ("userId") GROUP BY ALL""",
         "page_mix": f"""SELECT page, c1 AS count_churners, c0 AS count_non_churners,
-            {r('100.0 * c1 / CAST(sum(c1) OVER () AS DOUBLE)')} AS ratio_churners,
-            {r('100.0 * c0 / CAST(sum(c0) OVER () AS DOUBLE)')} AS ratio_non_churners,
-            {r('100.0 * c1 / CAST(sum(c1) OVER () AS DOUBLE) - 100.0 * c0 / CAST(sum(c0) OVER () AS DOUBLE)')} AS delta
+            100.0 * c1 / CAST(sum(c1) OVER () AS DOUBLE) AS ratio_churners,
+            100.0 * c0 / CAST(sum(c0) OVER () AS DOUBLE) AS ratio_non_churners,
+            100.0 * c1 / CAST(sum(c1) OVER () AS DOUBLE) - 100.0 * c0 / CAST(sum(c0) OVER () AS DOUBLE) AS delta
             FROM (SELECT page, count(*) AS c1 FROM log JOIN label USING ("userId") WHERE churn = 1 GROUP BY page)
             JOIN (SELECT page, count(*) AS c0 FROM log JOIN label USING ("userId") WHERE churn = 0 GROUP BY page)
             USING (page)""",
@@ -375,39 +373,39 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY v.page, v.churn) w ON b.page = w.page AND b.churn = w.churn""",
         "interactions_per_user": 'SELECT "userId", count(*) AS n_logs FROM log GROUP BY "userId"',
         "sessions_per_user": 'SELECT "userId", count(*) AS n_sessions FROM sess GROUP BY "userId"',
-        "session_duration": f"""SELECT "userId", "sessionId", {r('(b - a) / 60000.0')} AS duration FROM sess""",
+        "session_duration": f"""SELECT "userId", "sessionId", (b - a) / 60000.0 AS duration FROM sess""",
         "eda_num_sessions": 'SELECT "userId", churn, num_sessions FROM eda_all',
         "eda_unique_songs": 'SELECT "userId", churn, count_unique_songs FROM eda_all',
         "eda_unique_artists": 'SELECT "userId", churn, count_unique_artists FROM eda_all',
         "eda_count_songs": 'SELECT "userId", churn, count_songs FROM eda_all',
         "eda_days_since_registration": 'SELECT "userId", churn, max_days_since_registration FROM eda_all',
-        "eda_avg_session_length": f"""SELECT "userId", churn, {r('avg_session_length')} AS avg_session_length
+        "eda_avg_session_length": f"""SELECT "userId", churn, avg_session_length AS avg_session_length
             FROM eda_all""",
         "eda_session_interval": """SELECT "userId", churn, session_interval_hours FROM eda_all
             WHERE session_interval_hours IS NOT NULL""",
-        "length_by_churn": f"""SELECT churn, {r('avg(length)', 1)} AS avg_length,
-            {r('quantile_cont(length, 0.5)', 1)} AS median_length, {r('stddev_samp(length)', 1)} AS stddev_length,
-            {r('max(length)', 1)} AS max_length, {r('min(length)', 1)} AS min_length,
-            {r('sum(length) / 3600', 1)} AS sum_length FROM log JOIN label USING ("userId")
+        "length_by_churn": f"""SELECT churn, {r('avg(length)')} AS avg_length,
+            {r('quantile_cont(length, 0.5)')} AS median_length, {r('stddev_samp(length)')} AS stddev_length,
+            {r('max(length)')} AS max_length, {r('min(length)')} AS min_length,
+            {r('sum(length) / 3600')} AS sum_length FROM log JOIN label USING ("userId")
             WHERE length IS NOT NULL GROUP BY churn""",
         "numeric_summary": "SELECT * FROM eda_stats_all",
         "histogram_by_churn": _histogram(),
         "user_info": """SELECT "userId", CASE gender WHEN 'M' THEN 0 WHEN 'F' THEN 1 END AS gender,
             CASE level WHEN 'free' THEN 0 WHEN 'paid' THEN 1 END AS level FROM last_row""",
-        "device_usage": f"""SELECT "userId", {', '.join(f'{r(_feature_sql[d])} AS "{d}"' for d in DEVICES)}
+        "device_usage": f"""SELECT "userId", {', '.join(f'{_feature_sql[d]} AS "{d}"' for d in DEVICES)}
             FROM use u JOIN overall o USING ("userId")""",
-        "browser_usage": f"""SELECT "userId", {', '.join(f'{r(_feature_sql[b])} AS "{b}"' for b in BROWSERS)}
+        "browser_usage": f"""SELECT "userId", {', '.join(f'{_feature_sql[b]} AS "{b}"' for b in BROWSERS)}
             FROM use u JOIN overall o USING ("userId")""",
         "page_counts": f"""SELECT "userId", {', '.join(page_slug(p) for p in RATED_PAGES)} FROM use
             WHERE n_rated > 0""",
         "overall_stats": f"""SELECT "userId", count_logs, count_sessions, count_distinct_artists, count_songs,
-            count_distinct_songs, {r('sum_length_minutes')} AS sum_length_minutes,
-            {r('days_since_registration')} AS days_since_registration FROM overall""",
-        "session_stats": f"""SELECT "userId", {r('avg_songs_per_session')} AS avg_songs_per_session,
-            {r('avg_session_length')} AS avg_session_length, {r('total_hours')} AS total_hours FROM per_session""",
+            count_distinct_songs, {r('sum_length_minutes', 7)} AS sum_length_minutes,
+            days_since_registration AS days_since_registration FROM overall""",
+        "session_stats": f"""SELECT "userId", avg_songs_per_session AS avg_songs_per_session,
+            avg_session_length AS avg_session_length, total_hours AS total_hours FROM per_session""",
         "page_rates_hourly": f"""SELECT "userId",
             {', '.join(f'{page_slug(p)}_hourly' for p in RATED_PAGES)} FROM feat WHERE n_rated > 0""",
-        "session_interval": f"""SELECT "userId", {r('session_interval')} AS session_interval FROM per_session""",
+        "session_interval": f"""SELECT "userId", session_interval AS session_interval FROM per_session""",
         "feature_table": f'SELECT "userId", churn, {feature_columns} FROM feat',
         "feature_table_inner": f'SELECT "userId", churn, {feature_columns} FROM feat WHERE n_rated > 0',
         "feature_correlation": f"SELECT feature_a, feature_b, {r('r')} AS r FROM corr_pairs",
@@ -415,9 +413,9 @@ def oracle_sql() -> dict[str, str]:
         "chi2_scores": "SELECT * FROM chi",
         "select_k_best": "SELECT * FROM chi ORDER BY score DESC NULLS LAST, feature LIMIT 16",
         "class_weights": f"""SELECT churn, count(*) AS n_users, {r('''CAST(sum(count(*)) OVER () AS DOUBLE)
-            / count(*) OVER () / count(*)''')} AS weight FROM label GROUP BY churn""",
+            / count(*) OVER () / count(*)''', None)} AS weight FROM label GROUP BY churn""",
         "class_weighted": f"""SELECT "userId", churn, {r('''(SELECT CAST(count(*) AS DOUBLE) / count(DISTINCT churn)
-            FROM label) / count(*) OVER (PARTITION BY churn)''')} AS weight FROM label""",
+            FROM label) / count(*) OVER (PARTITION BY churn)''', None)} AS weight FROM label""",
         "minmax_scaled": _minmax(),
         "train_test_split": """SELECT "userId", churn,
             CASE WHEN CAST('0x' || substr(md5('42:' || "userId"), 1, 8) AS BIGINT) % 1000 < 700

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lapsewise import functions as L
 from lapsewise.operators.labels import churn_flagged_log, page_flag
 from lapsewise.operators.quantiles import exact_quantiles
-from lapsewise.operators.sessions import minutes_per_session, pause_between_sessions, session_table
+from lapsewise.operators.sessions import average_minutes, pause_between_sessions, session_table
 from lapsewise.schema import BOXED_PAGES, CHURN_PAGE, page_slug
 
 METRICS = [
@@ -58,7 +58,7 @@ def days_since_registration(log: DataFrame) -> DataFrame:
 
 def avg_session_length(log: DataFrame) -> DataFrame:
     return session_table(log).groupBy("userId").agg(
-        F.max("churn").alias("churn"), F.avg(minutes_per_session()).alias("avg_session_length")
+        F.max("churn").alias("churn"), average_minutes().alias("avg_session_length")
     )
 
 
@@ -73,7 +73,6 @@ def session_interval_hours(log: DataFrame) -> DataFrame:
 
 def user_metrics(log: DataFrame) -> DataFrame:
     """All of METRICS per user, from two passes: sessions, and distinct songs and artists."""
-    minutes = minutes_per_session()
     by_session = log.groupBy("userId", "sessionId").agg(
         F.min("ts").alias("start_ts"),
         F.max("ts").alias("end_ts"),
@@ -87,7 +86,7 @@ def user_metrics(log: DataFrame) -> DataFrame:
         F.max("churn").alias("churn"),
         F.count("*").alias("num_sessions"),
         pause_between_sessions(L.MS_PER_HOUR).cast("int").alias("session_interval_hours"),
-        F.avg(minutes).alias("avg_session_length"),
+        average_minutes().alias("avg_session_length"),
         F.sum("n_logs").alias("count_songs"),
         F.max("age").alias("max_days_since_registration"),
         F.max("no_song").alias("no_song"),
@@ -113,8 +112,8 @@ def distinct_media(log: DataFrame) -> DataFrame:
 
 
 def metrics_long(per_user: DataFrame, metrics: list[str]) -> DataFrame:
-    """(churn, metric, value) rows without missing values; values rounded to 6 digits."""
-    values = [F.round(F.col(m).cast("double"), 6).alias(m) for m in metrics]
+    """(churn, metric, value) rows without missing values."""
+    values = [F.col(m).cast("double").alias(m) for m in metrics]
     long = per_user.select("churn", *values).unpivot(["churn"], metrics, "metric", "value")
     return long.where(F.col("value").isNotNull())
 
@@ -139,8 +138,8 @@ def numeric_summary(log: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
     return summarize(metrics_long(user_metrics(log), metrics), ["metric", "churn"], "value")
 
 
-def length_by_churn(log: DataFrame) -> DataFrame:
-    """Track length in each churn group; the sum is in hours. One digit."""
+def length_by_churn(log: DataFrame, digits: int = 1) -> DataFrame:
+    """Track length in each churn group; the sum is in hours."""
     tracks = churn_flagged_log(log.select("userId", "page", "ts", "length")).where("length is not null")
     moments = tracks.groupBy("churn").agg(
         F.avg("length").alias("avg_length"),
@@ -151,7 +150,7 @@ def length_by_churn(log: DataFrame) -> DataFrame:
     )
     medians = exact_quantiles(tracks, ["churn"], "length", {"median_length": 0.5})
     joined = moments.join(medians, "churn")
-    return joined.select("churn", *[F.round(c, 1).alias(c) for c in joined.columns if c != "churn"])
+    return joined.select("churn", *[F.round(c, digits).alias(c) for c in joined.columns if c != "churn"])
 
 
 def histogram(long: DataFrame, bins: dict[str, int]) -> DataFrame:

@@ -32,30 +32,45 @@ def session_duration(log: DataFrame) -> DataFrame:
     return session_table(log).select("userId", "sessionId", minutes_per_session().alias("duration"))
 
 
+# Times are summed as whole milliseconds and divided once, so totals do not depend on the order in
+# which tasks finish.
+
+
+def ms_per_session() -> Column:
+    return F.col("end_ts") - F.col("start_ts")
+
+
 def minutes_per_session() -> Column:
-    return (F.col("end_ts") - F.col("start_ts")) / F.lit(float(L.MS_PER_MINUTE))
+    return ms_per_session() / F.lit(float(L.MS_PER_MINUTE))
+
+
+def average_minutes() -> Column:
+    """Mean session length, from per-session rows of one user."""
+    return F.avg(ms_per_session()) / F.lit(float(L.MS_PER_MINUTE))
+
+
+def total_hours() -> Column:
+    """Time in all sessions, from per-session rows of one user."""
+    return F.sum(ms_per_session()) / F.lit(float(L.MS_PER_HOUR))
 
 
 def pause_between_sessions(unit_ms: int) -> Column:
     """Average gap between sessions, from per-session rows of one user: the observed time outside
     sessions over the number of gaps. Null for users with one session."""
     sessions = F.count("*")
-    observed = F.max("end_ts") - F.min("start_ts")
-    inside = F.sum(F.col("end_ts") - F.col("start_ts"))
-    unit = F.lit(float(unit_ms))
-    return F.when(sessions > 1, (observed / unit - inside / unit) / (sessions - 1))
+    outside = F.max("end_ts") - F.min("start_ts") - F.sum(ms_per_session())
+    return F.when(sessions > 1, outside / F.lit(float(unit_ms)) / (sessions - 1))
 
 
 def session_stats(log: DataFrame) -> DataFrame:
     """Songs and minutes per session and hours in total, per user."""
-    minutes = minutes_per_session()
     return (
         session_table(log)
         .groupBy("userId")
         .agg(
             F.avg("n_songs").alias("avg_songs_per_session"),
-            F.avg(minutes).alias("avg_session_length"),
-            (F.sum(minutes) / 60.0).alias("total_hours"),
+            average_minutes().alias("avg_session_length"),
+            total_hours().alias("total_hours"),
         )
         .fillna(0)
     )

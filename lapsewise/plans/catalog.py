@@ -28,10 +28,14 @@ RATE_FEATURES = ["gender", "level", "status", "device", "browser", "state", "wee
 BINS = {m: (50 if m == "num_sessions" else 25) for m in numeric.METRICS}
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits: sums of doubles differ in the last bits between runs."""
-    doubles = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType)}
-    return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
+def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Columns made from sums of doubles, whose last bits depend on the order of summing."""
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+SUM_OF_LENGTHS = {"sum_length_minutes": 7}
+SUMMARY_DIGITS = {"mean": 6, "std": 6, "q1": 8, "median": 8, "q3": 8}
+CONFUSION_DIGITS = {c: 8 for c in ("accuracy", "f1_score", "precision", "recall", "auc_hard")}
 
 
 # Logs
@@ -52,19 +56,19 @@ def segmented_log(spark: SparkSession, sf: str, profile: bool) -> DataFrame:
 
 
 def on_raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: rounded(operator(raw_log(spark, sf)))
+    return lambda spark, sf: operator(raw_log(spark, sf))
 
 
-def on_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: rounded(operator(user_log(spark, sf)))
+def on_events(operator: Callable[[DataFrame], DataFrame], digits: dict[str, int] | None = None) -> Query:
+    return lambda spark, sf: rounded(operator(user_log(spark, sf)), digits or {})
 
 
 def on_segments(operator: Callable[[DataFrame], DataFrame], profile: bool = False) -> Query:
-    return lambda spark, sf: rounded(operator(segmented_log(spark, sf, profile)))
+    return lambda spark, sf: operator(segmented_log(spark, sf, profile))
 
 
-def on_features(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: rounded(operator(features.feature_table(user_log(spark, sf))))
+def on_features(operator: Callable[[DataFrame], DataFrame], digits: dict[str, int] | None = None) -> Query:
+    return lambda spark, sf: rounded(operator(features.feature_table(user_log(spark, sf))), digits or {})
 
 
 # Sources and sinks
@@ -109,7 +113,7 @@ def csv_round_trip(table: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(csv_round_trip(rate_table(spark, sf), _RATE_TABLE_SCHEMA))
+    return csv_round_trip(rate_table(spark, sf), _RATE_TABLE_SCHEMA)
 
 
 def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,13 +123,13 @@ def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
 def load_features(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "features")
     features.create_features(activity_log(spark, sf, profile=False), path)
-    return rounded(features.load_features(spark, path))
+    return rounded(features.load_features(spark, path), SUM_OF_LENGTHS)
 
 
 # Reports
 
 def session_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(sessions.session_duration(user_log(spark, sf)))
+    return sessions.session_duration(user_log(spark, sf))
 
 
 def rate_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,7 +137,7 @@ def rate_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def all_rates(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(segments.churn_rates(segmented_log(spark, sf, True), RATE_FEATURES))
+    return segments.churn_rates(segmented_log(spark, sf, True), RATE_FEATURES)
 
 
 def rate_of(feature: str) -> Query:
@@ -379,36 +383,36 @@ def queries() -> dict[str, Query]:
         "eda_days_since_registration": on_events(numeric.days_since_registration),
         "eda_avg_session_length": on_events(numeric.avg_session_length),
         "eda_session_interval": on_events(numeric.session_interval_hours),
-        "length_by_churn": on_events(numeric.length_by_churn),
-        "numeric_summary": on_events(numeric.numeric_summary),
+        "length_by_churn": on_events(lambda log: numeric.length_by_churn(log, digits=6)),
+        "numeric_summary": on_events(numeric.numeric_summary, SUMMARY_DIGITS),
         "histogram_by_churn": on_events(metric_histogram),
         # features
         "user_info": on_events(features.user_info),
         "device_usage": on_events(features.device_usage),
         "browser_usage": on_events(features.browser_usage),
         "page_counts": on_events(features.page_counts),
-        "overall_stats": on_events(features.overall_stats),
+        "overall_stats": on_events(features.overall_stats, SUM_OF_LENGTHS),
         "session_stats": on_events(sessions.session_stats),
         "page_rates_hourly": on_events(features.page_rates_hourly),
         "session_interval": on_events(sessions.session_interval),
-        "feature_table": on_events(features.feature_table),
-        "feature_table_inner": on_events(lambda log: features.feature_table(log, join="inner")),
+        "feature_table": on_events(features.feature_table, SUM_OF_LENGTHS),
+        "feature_table_inner": on_events(lambda log: features.feature_table(log, join="inner"), SUM_OF_LENGTHS),
         # selection
-        "feature_correlation": on_features(lambda t: selection.feature_correlation(t, FEATURES)),
+        "feature_correlation": on_features(lambda t: selection.feature_correlation(t, FEATURES), {"r": 6}),
         "correlated_features_dropped": on_features(
             lambda t: selection.names_table(t.sparkSession, selection.correlated_features(t, FEATURES), "feature")
         ),
-        "chi2_scores": on_features(lambda t: selection.chi2_scores(t, FEATURES)),
-        "select_k_best": on_features(lambda t: selection.select_k_best(t, FEATURES, 16)),
+        "chi2_scores": on_features(lambda t: selection.chi2_scores(t, FEATURES), {"score": 6}),
+        "select_k_best": on_features(lambda t: selection.select_k_best(t, FEATURES, 16), {"score": 6}),
         "class_weights": on_features(weighting.class_weights),
         "class_weighted": on_features(
             lambda t: weighting.with_class_weight(t).select("userId", "churn", "weight")
         ),
-        "minmax_scaled": on_features(lambda t: selection.min_max_scaled(t, FEATURES)),
+        "minmax_scaled": on_features(lambda t: selection.min_max_scaled(t, FEATURES), SUM_OF_LENGTHS),
         "train_test_split": on_features(split_sizes),
-        "confusion_metrics": on_features(rule_based_metrics),
+        "confusion_metrics": on_features(rule_based_metrics, CONFUSION_DIGITS),
         # report tables
-        "churn_rate_table": lambda s, sf: rounded(rate_table(s, sf)),
+        "churn_rate_table": rate_table,
         "numeric_summary_table": on_events(lambda log: reports.numeric_summary_table(log, "all")),
         "compare_datasets_num": on_events(compare_numeric),
         "compare_datasets_cat": on_segments(compare_categories),

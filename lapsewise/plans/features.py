@@ -13,7 +13,7 @@ from lapsewise import functions as L
 from lapsewise.operators.cleaning import clean
 from lapsewise.operators.labels import page_flag
 from lapsewise.operators.numeric import distinct_media
-from lapsewise.operators.sessions import minutes_per_session, pause_between_sessions
+from lapsewise.operators.sessions import average_minutes, pause_between_sessions, total_hours
 from lapsewise.operators.usage import share, usage_counts, usage_table
 from lapsewise.schema import (
     BROWSERS,
@@ -98,7 +98,6 @@ def _session_sums(log: DataFrame) -> DataFrame:
 
 
 def _user_sums(sessions: DataFrame) -> DataFrame:
-    minutes = minutes_per_session()
     return sessions.groupBy("userId").agg(
         F.max("churn").alias("churn"),
         F.max("profile").alias("profile"),
@@ -108,8 +107,8 @@ def _user_sums(sessions: DataFrame) -> DataFrame:
         (F.sum("sum_length") / 60000.0).alias("sum_length_minutes"),
         ((F.max("end_ts") - F.max("registration")) / F.lit(float(L.MS_PER_DAY))).alias("days_since_registration"),
         F.avg("n_songs").alias("avg_songs_per_session"),
-        F.avg(minutes).alias("avg_session_length"),
-        (F.sum(minutes) / 60.0).alias("total_hours"),
+        average_minutes().alias("avg_session_length"),
+        total_hours().alias("total_hours"),
         pause_between_sessions(L.MS_PER_MINUTE).alias("session_interval"),
         *[F.sum(c).alias(c) for c in [*DEVICES, *BROWSERS, *_RATED, "n_rated"]],
     )
@@ -151,7 +150,7 @@ def page_rates_hourly(log: DataFrame) -> DataFrame:
         F.count_if(~F.col("page").isin(UNRATED_PAGES)).alias("n_rated"),
     )
     users = sessions.groupBy("userId").agg(
-        (F.sum(minutes_per_session()) / 60.0).alias("total_hours"),
+        total_hours().alias("total_hours"),
         *[F.sum(c).alias(c) for c in [*_RATED, "n_rated"]],
     )
     return users.where("n_rated > 0").select("userId", *[_hourly(c) for c in _RATED])
