@@ -20,5 +20,6 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
