@@ -3,7 +3,7 @@
 Written independently of the Spark code: plain joins, windows and quantile functions.
 """
 
-from lapsewise.plans.catalog import BINS, RATE_FEATURES, SEGMENT_FEATURES
+from lapsewise.plans.catalog import ACTIVITY_BINS, BINS, RATE_FEATURES, SEGMENT_FEATURES
 from lapsewise.schema import BOXED_PAGES, BROWSERS, DEVICES, EVENT_SCHEMA, FEATURES, PAGES, RATED_PAGES, page_slug
 from lapsewise.sources.activity import AGENTS, FIRST_REGISTRATION_MS
 
@@ -185,6 +185,9 @@ CTES = {
     **_numeric_stats("log", "_all"),
     **_numeric_stats("early", "_early"),
     **_numeric_stats("late", "_late"),
+    "activity_long": """SELECT 'interactions' AS metric, CAST(count(*) AS DOUBLE) AS value FROM log GROUP BY "userId"
+        UNION ALL SELECT 'sessions', CAST(count(*) AS DOUBLE) FROM sess GROUP BY "userId"
+        UNION ALL SELECT 'session_minutes', (b - a) / 60000.0 FROM sess""",
     "page_long": _stack("use", [page_slug(p) for p in BOXED_PAGES], ["userId"], "page", "views"),
     "page_views": 'SELECT page, churn, views FROM page_long JOIN label USING ("userId")',
 }
@@ -267,20 +270,30 @@ def _confusion() -> str:
         GROUP BY level)"""
 
 
-def _histogram() -> str:
-    bins = " ".join(f"WHEN '{m}' THEN {n}" for m, n in BINS.items())
-    return f"""SELECT metric, churn, bin, n, 100.0 * n / CAST(sum(n) OVER (PARTITION BY metric, churn) AS DOUBLE)
-        AS percent FROM (SELECT metric, churn, CAST(least(coalesce(floor((value - lo) / nullif((hi - lo) / nb, 0)), 0),
+def _histogram(source: str, bins: dict[str, int], by: str) -> str:
+    cases = " ".join(f"WHEN '{m}' THEN {n}" for m, n in bins.items())
+    return f"""SELECT {by}, bin, n, 100.0 * n / CAST(sum(n) OVER (PARTITION BY {by}) AS DOUBLE)
+        AS percent FROM (SELECT {by}, CAST(least(coalesce(floor((value - lo) / nullif((hi - lo) / nb, 0)), 0),
         nb - 1) AS INTEGER) AS bin, count(*) AS n FROM (SELECT *, min(value) OVER (PARTITION BY metric) AS lo,
-        max(value) OVER (PARTITION BY metric) AS hi, CASE metric {bins} END AS nb FROM eda_long_all)
+        max(value) OVER (PARTITION BY metric) AS hi, CASE metric {cases} END AS nb FROM {source})
         GROUP BY ALL)"""
 
 
+def _boxes(source: str, by: str, value: str, digits: int | None = None) -> str:
+    keys = by.split(", ")
+    box = f"""SELECT {by}, count(*) AS n, min({value}) AS min, {r(f'quantile_cont({value}, 0.25)', digits)} AS q1,
+        {r(f'quantile_cont({value}, 0.5)', digits)} AS median, {r(f'quantile_cont({value}, 0.75)', digits)} AS q3,
+        max({value}) AS max FROM {source} GROUP BY {by}"""
+    on = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+    return f"""SELECT b.*, w.whisker_low, w.whisker_high FROM ({box}) b JOIN (
+        SELECT {', '.join('v.' + k for k in keys)}, min(v.{value}) AS whisker_low, max(v.{value}) AS whisker_high
+        FROM {source} v JOIN ({box}) x ON {on('v', 'x')}
+        WHERE v.{value} BETWEEN x.q1 - 1.5 * (x.q3 - x.q1) AND x.q3 + 1.5 * (x.q3 - x.q1)
+        GROUP BY ALL) w ON {on('b', 'w')}"""
+
+
 def oracle_sql() -> dict[str, str]:
     feature_columns = ", ".join(f'"{c}"' for c in FEATURES)
-    boxes = """SELECT page, churn, count(*) AS n, min(views) AS min, quantile_cont(views, 0.25) AS q1,
-        quantile_cont(views, 0.5) AS median, quantile_cont(views, 0.75) AS q3, max(views) AS max
-        FROM page_views GROUP BY page, churn"""
     sql = {
         "scan_parquet": "SELECT event_id, epoch_us(ts) // 1000 AS ts, user_id, event_type, value, props FROM events",
         "scan_json": """SELECT page, auth, count(*) AS n_logs, count(song) AS n_songs, max(ts) AS last_ts
@@ -366,11 +379,7 @@ def oracle_sql() -> dict[str, str]:
             JOIN (SELECT page, count(*) AS c0 FROM log JOIN label USING ("userId") WHERE churn = 0 GROUP BY page)
             USING (page)""",
         "page_pivot": f'SELECT "userId", {", ".join(page_slug(p) for p in PAGES)} FROM use',
-        "page_box_stats": f"""SELECT b.*, w.whisker_low, w.whisker_high FROM ({boxes}) b JOIN (
-            SELECT v.page, v.churn, min(v.views) AS whisker_low, max(v.views) AS whisker_high
-            FROM page_views v JOIN ({boxes}) x ON v.page = x.page AND v.churn = x.churn
-            WHERE v.views BETWEEN x.q1 - 1.5 * (x.q3 - x.q1) AND x.q3 + 1.5 * (x.q3 - x.q1)
-            GROUP BY v.page, v.churn) w ON b.page = w.page AND b.churn = w.churn""",
+        "page_box_stats": _boxes("page_views", "page, churn", "views"),
         "interactions_per_user": 'SELECT "userId", count(*) AS n_logs FROM log GROUP BY "userId"',
         "sessions_per_user": 'SELECT "userId", count(*) AS n_sessions FROM sess GROUP BY "userId"',
         "session_duration": f"""SELECT "userId", "sessionId", (b - a) / 60000.0 AS duration FROM sess""",
@@ -389,7 +398,9 @@ def oracle_sql() -> dict[str, str]:
             {r('sum(length) / 3600')} AS sum_length FROM log JOIN label USING ("userId")
             WHERE length IS NOT NULL GROUP BY churn""",
         "numeric_summary": "SELECT * FROM eda_stats_all",
-        "histogram_by_churn": _histogram(),
+        "histogram_by_churn": _histogram("eda_long_all", BINS, "metric, churn"),
+        "activity_histogram": _histogram("activity_long", ACTIVITY_BINS, "metric"),
+        "activity_box_stats": _boxes("activity_long", "metric", "value", 8),
         "user_info": """SELECT "userId", CASE gender WHEN 'M' THEN 0 WHEN 'F' THEN 1 END AS gender,
             CASE level WHEN 'free' THEN 0 WHEN 'paid' THEN 1 END AS level FROM last_row""",
         "device_usage": f"""SELECT "userId", {', '.join(f'{_feature_sql[d]} AS "{d}"' for d in DEVICES)}

@@ -1,12 +1,17 @@
 """Per-user activity metrics compared between churners and others."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapsewise import functions as L
 from lapsewise.operators.labels import churn_flagged_log, page_flag
 from lapsewise.operators.quantiles import exact_quantiles
-from lapsewise.operators.sessions import average_minutes, pause_between_sessions, session_table
+from lapsewise.operators.sessions import (
+    average_minutes,
+    minutes_per_session,
+    pause_between_sessions,
+    session_table,
+)
 from lapsewise.schema import BOXED_PAGES, CHURN_PAGE, page_slug
 
 METRICS = [
@@ -153,11 +158,22 @@ def length_by_churn(log: DataFrame, digits: int = 1) -> DataFrame:
     return joined.select("churn", *[F.round(c, digits).alias(c) for c in joined.columns if c != "churn"])
 
 
-def histogram(long: DataFrame, bins: dict[str, int]) -> DataFrame:
-    """Equal-width histogram of each metric, percent within the churn group.
+def activity_long(log: DataFrame) -> DataFrame:
+    """(metric, value) rows: events and sessions per user, minutes per session."""
+    sessions = session_table(log)
+    per_user = sessions.groupBy("userId").agg(
+        F.sum("n_logs").cast("double").alias("interactions"), F.count("*").cast("double").alias("sessions")
+    )
+    minutes = sessions.select(F.lit("session_minutes").alias("metric"), minutes_per_session().alias("value"))
+    return per_user.unpivot([], ["interactions", "sessions"], "metric", "value").unionByName(minutes)
+
+
+def histogram(long: DataFrame, bins: dict[str, int], by: str | None = "churn") -> DataFrame:
+    """Equal-width histogram of each metric, percent within the group ``by`` if given.
 
-    ``bins`` gives the number of bins per metric; the range of a metric spans both groups.
+    ``bins`` gives the number of bins per metric; the range of a metric spans all groups.
     """
+    group = ["metric", *([by] if by else [])]
     bin_count = F.create_map(*[F.lit(x) for pair in bins.items() for x in pair])
     ranges = long.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     # One row per metric.
@@ -166,13 +182,12 @@ def histogram(long: DataFrame, bins: dict[str, int]) -> DataFrame:
     position = F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("low"), width), F.lit(0.0)))
     counts = (
         placed.withColumn("bin", F.least(position, F.col("n_bins") - 1).cast("int"))
-        .groupBy("metric", "churn", "bin")
+        .groupBy(*group, "bin")
         .agg(F.count("*").alias("n"))
     )
-    sizes = counts.groupBy("metric", "churn").agg(F.sum("n").alias("size"))
-    return counts.join(sizes, ["metric", "churn"]).select(
-        "metric", "churn", "bin", "n", (100.0 * F.col("n") / F.col("size")).alias("percent")
-    )
+    # One row per bin.
+    size = F.sum("n").over(Window.partitionBy(*group))
+    return counts.withColumn("percent", 100.0 * F.col("n") / size)
 
 
 def page_pivot(log: DataFrame, pages: list[str]) -> DataFrame:
@@ -182,25 +197,25 @@ def page_pivot(log: DataFrame, pages: list[str]) -> DataFrame:
 
 
 def page_box_stats(log: DataFrame, pages: list[str] = BOXED_PAGES) -> DataFrame:
-    """Box-plot numbers of the events per user, for each page and churn group.
+    """Box-plot numbers of the events per user, for each page and churn group."""
+    columns = [page_slug(p) for p in pages]
+    wide = page_pivot(log, pages).select("churn", *[F.col(c).cast("double").alias(c) for c in columns])
+    return box_stats(wide.unpivot(["churn"], columns, "page", "views"), ["page", "churn"], "views")
+
+
+def box_stats(long: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Size, quartiles, range and whiskers of a value in each of a few groups.
 
     Whiskers end at the last value within 1.5 quartile distances of the box.
     """
-    columns = [page_slug(p) for p in pages]
-    wide = page_pivot(log, pages).select("churn", *[F.col(c).cast("double").alias(c) for c in columns])
-    # Users with the same number of views are one weighted row from here on.
-    long = wide.unpivot(["churn"], columns, "page", "views")
-    by = ["page", "churn"]
-    boxes = summarize(long, by, "views").select(*by, "n", "min", "q1", "median", "q3", "max")
+    boxes = summarize(long, by, value).select(*by, "n", "min", "q1", "median", "q3", "max")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    # At most one row per listed page and label value.
+    # One row per group.
     limits = F.broadcast(boxes.select(*by, (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi")))
     whiskers = (
-        long.groupBy(*by, "views")
-        .agg(F.count("*").alias("_n"))
-        .join(limits, by)
-        .where("views between lo and hi")
+        long.join(limits, by)
+        .where(F.col(value).between(F.col("lo"), F.col("hi")))
         .groupBy(*by)
-        .agg(F.min("views").alias("whisker_low"), F.max("views").alias("whisker_high"))
+        .agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
     )
     return boxes.join(whiskers, by)

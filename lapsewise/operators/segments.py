@@ -4,7 +4,7 @@ All reports work on the long form (feature, category): one scan serves every att
 are combined before the shuffle, so neither a busy user nor a dominant category makes a large task.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapsewise.operators.labels import mark_churn
@@ -91,11 +91,10 @@ def page_mix(log: DataFrame, digits: int | None = None) -> DataFrame:
         )
         .where("count_churners > 0 and count_non_churners > 0")
     )
-    totals = counts.agg(
-        F.sum("count_churners").alias("churners"), F.sum("count_non_churners").alias("non_churners")
-    )
-    share_1 = 100.0 * F.col("count_churners") / totals.select("churners").scalar()
-    share_0 = 100.0 * F.col("count_non_churners") / totals.select("non_churners").scalar()
+    # One row per page by now, so a window over all of them is small.
+    all_pages = Window.partitionBy()
+    share_1 = 100.0 * F.col("count_churners") / F.sum("count_churners").over(all_pages)
+    share_0 = 100.0 * F.col("count_non_churners") / F.sum("count_non_churners").over(all_pages)
     if digits is not None:
         share_1 = F.round(share_1, digits)
     return (

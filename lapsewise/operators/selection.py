@@ -21,8 +21,17 @@ def correlation_pairs(table: DataFrame, columns: list[str]) -> list[tuple[str, s
     """Pearson r of every column with every earlier one; None where a column is constant.
 
     Columns are centred and scaled first: the one-pass Gramian then loses no digits to large means.
-    The matrix has one cell per pair of columns, whatever the number of rows.
+    The matrix has one cell per pair of columns, whatever the number of rows. The columns are kept
+    in memory or on executor disks meanwhile, because the statistics and the matrix take a few passes.
     """
+    table = table.select(*columns).persist()
+    try:
+        return _correlation_pairs(table, columns)
+    finally:
+        table.unpersist()
+
+
+def _correlation_pairs(table: DataFrame, columns: list[str]) -> list[tuple[str, str, float | None]]:
     stats = table.agg(
         *[f(F.col(c)).alias(f"{c}_{n}") for c in columns for n, f in (("avg", F.avg), ("std", F.stddev_samp))],
         *[(F.min(c) < F.max(c)).alias(f"{c}_varies") for c in columns],

@@ -1,14 +1,15 @@
 """Class weights, the train/test split and metrics of predictions."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def class_weights(table: DataFrame) -> DataFrame:
     """Size and weight n / (classes * size) of each label value."""
     sizes = table.groupBy("churn").agg(F.count("*").alias("n_users"))
-    totals = sizes.agg(F.sum("n_users").alias("n"), F.count("*").alias("classes"))
-    balanced = totals.select((F.col("n").cast("double") / F.col("classes")).alias("w")).scalar()
+    # One row per label value.
+    classes = Window.partitionBy()
+    balanced = F.sum("n_users").over(classes).cast("double") / F.count("*").over(classes)
     return sizes.withColumn("weight", balanced / F.col("n_users"))
 
 

@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SEGMENT_FEATURES = ["gender", "level", "status", "method", "page", "device", "browser", "state", "date"]
 RATE_FEATURES = ["gender", "level", "status", "device", "browser", "state", "weekday", "day", "hour"]
+ACTIVITY_BINS = {"interactions": 25, "sessions": 25, "session_minutes": 25}
 BINS = {m: (50 if m == "num_sessions" else 25) for m in numeric.METRICS}
 
 
@@ -35,6 +36,7 @@ def rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
 SUM_OF_LENGTHS = {"sum_length_minutes": 7}
 SUMMARY_DIGITS = {"mean": 6, "std": 6, "q1": 8, "median": 8, "q3": 8}
+BOX_DIGITS = {"q1": 8, "median": 8, "q3": 8}
 CONFUSION_DIGITS = {c: 8 for c in ("accuracy", "f1_score", "precision", "recall", "auc_hard")}
 
 
@@ -68,7 +70,7 @@ def on_segments(operator: Callable[[DataFrame], DataFrame], profile: bool = Fals
 
 
 def on_features(operator: Callable[[DataFrame], DataFrame], digits: dict[str, int] | None = None) -> Query:
-    return lambda spark, sf: rounded(operator(features.feature_table(user_log(spark, sf))), digits or {})
+    return lambda spark, sf: rounded(operator(written_features(spark, sf)), digits or {})
 
 
 # Sources and sinks
@@ -180,7 +182,7 @@ def split_sizes(table: DataFrame) -> DataFrame:
     return table.select("userId", "churn", part.alias("part"))
 
 
-# Models. All of them read one feature table, written once per session and input.
+# Selection and models. All of them read one feature table, written once per session and input.
 
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -386,6 +388,12 @@ def queries() -> dict[str, Query]:
         "length_by_churn": on_events(lambda log: numeric.length_by_churn(log, digits=6)),
         "numeric_summary": on_events(numeric.numeric_summary, SUMMARY_DIGITS),
         "histogram_by_churn": on_events(metric_histogram),
+        "activity_histogram": on_events(
+            lambda log: numeric.histogram(numeric.activity_long(log), ACTIVITY_BINS, by=None)
+        ),
+        "activity_box_stats": on_events(
+            lambda log: numeric.box_stats(numeric.activity_long(log), ["metric"], "value"), BOX_DIGITS
+        ),
         # features
         "user_info": on_events(features.user_info),
         "device_usage": on_events(features.device_usage),

@@ -24,10 +24,12 @@ def write_json_table(df: DataFrame, path: str) -> None:
 
 
 def write_parquet_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
+    """``partition_by`` makes one folder per value. Rows are brought together by value first, so that
+    not every task writes a file into every folder; AQE splits values that are too large for a task."""
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
