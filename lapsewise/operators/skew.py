@@ -3,15 +3,18 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/256 of the rows, so there are never more than 256 hot keys.
-HOT_KEYS = 256
-SALTS = 64
-
 
 def hot_keys(sizes: DataFrame, key: str, rows: str = "n") -> DataFrame:
-    """Keys with more than 1/HOT_KEYS of all rows, out of a table of rows per key."""
+    """Keys too large for one shuffle partition, and into how many parts to split each.
+
+    With P shuffle partitions, a key is hot when it holds more than 1/P of all rows, and it gets a
+    part for every 1/P it holds. So there are fewer than P hot keys and fewer than 2 P parts,
+    whatever the size of the data.
+    """
+    partitions = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = sizes.agg(F.sum(rows)).scalar()
-    return sizes.where(F.col(rows) * HOT_KEYS > total).select(key)
+    parts = F.ceil(F.col(rows) * partitions / total).cast("int")
+    return sizes.where(F.col(rows) * partitions > total).select(key, parts.alias("_parts"))
 
 
 def join_on_skewed_key(
@@ -22,19 +25,26 @@ def join_on_skewed_key(
     sizes: DataFrame | None = None,
     how: str = "inner",
 ) -> DataFrame:
-    """Equi-join of a log with a table of unique keys, hot keys split over SALTS tasks.
+    """Equi-join of a log with a table of unique keys, hot keys split over several tasks.
 
-    Rows of a hot key get a salt from a hash of ``spread_by`` and meet SALTS copies of their lookup
-    row; rows without a key, which match nothing, are spread likewise; all others keep salt 0. The hash makes a re-run task send its rows to the same places.
-    Only the list of hot keys is broadcast, at most HOT_KEYS rows at any data size.
-    ``sizes`` (key, n) saves the counting pass when the caller has it. ``how`` is inner or left.
+    Rows of a hot key get a salt from a hash of ``spread_by`` and meet a copy of their lookup row
+    for each salt; all other rows keep salt 0. The hash makes a re-run task send its rows to the
+    same places. Only the list of hot keys is broadcast.
+    ``sizes`` (key, n) saves the counting pass when the caller has it. ``how`` is inner or left;
+    in a left join rows without a key, which match nothing, are spread as well.
     """
     if sizes is None:
         sizes = log.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    hot = F.broadcast(hot_keys(sizes, key).withColumn("_hot", F.lit(True)))
-    spread = F.col("_hot") | F.col(key).isNull()
-    salt = F.when(spread, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_log = log.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
-    salted_lookup = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_log.join(salted_lookup, [key, "_salt"], how).drop("_salt")
+    hot = F.broadcast(hot_keys(sizes, key))
+    row_hash = F.xxhash64(*spread_by)
+    salt = (
+        F.when(F.col(key).isNull(), row_hash)
+        .when(F.col("_parts").isNotNull(), F.pmod(row_hash, F.col("_parts")))
+        .otherwise(0)
+    )
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    salted_log = log.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")
+    salted_lookup = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_parts")
+    return salted_log.join(
+        salted_lookup.withColumn("_salt", F.col("_salt").cast("long")), [key, "_salt"], how
+    ).drop("_salt")

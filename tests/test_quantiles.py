@@ -23,7 +23,7 @@ def test_small_groups(spark):
     check(spark.createDataFrame(data, "g int, v double"), groups)
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 500])
+@pytest.mark.parametrize("accuracy", [100_000, 10_000, 500])
 def test_groups_beyond_the_sketch_size(spark, monkeypatch, accuracy):
     """Large groups go through the brackets: one continuous, one with few values, one lopsided."""
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)

@@ -1,5 +1,9 @@
 """Every query with SQL gives the same columns, types and values as DuckDB, on the smallest tables."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from conftest import DATA
 
@@ -29,13 +33,15 @@ def test_entry(spark):
     assert df.columns[:2] == ["userId", "churn"] and df.count() == 15
 
 
-def test_shared_folder_is_the_configured_one(spark, tmp_path):
-    from lapsewise.storage import new_path, write_and_reload
-
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert new_path(spark, "x").startswith(str(tmp_path))
-        write_and_reload(spark.range(3), "ids").count()
-        assert list((tmp_path / "lapsewise").glob("ids-*"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_is_the_configured_one(tmp_path):
+    """In a process of its own: the setting is fixed when a session starts."""
+    code = f"""
+from pyspark.sql import SparkSession
+from lapsewise.storage import write_and_reload
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+assert write_and_reload(spark.range(3), "ids").count() == 3
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+    assert list((tmp_path / "lapsewise").glob("ids-*"))
