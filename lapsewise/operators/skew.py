@@ -4,16 +4,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Parts of a hot key are a quarter of a partition each: parts that meet in one partition by chance
+# then do little harm.
+PARTS_PER_PARTITION = 4
+
+
 def hot_keys(sizes: DataFrame, key: str, rows: str = "n") -> DataFrame:
     """Keys too large for one shuffle partition, and into how many parts to split each.
 
-    With P shuffle partitions, a key is hot when it holds more than 1/P of all rows, and it gets a
-    part for every 1/P it holds. So there are fewer than P hot keys and fewer than 2 P parts,
-    whatever the size of the data.
+    With P shuffle partitions, a key is hot when it holds more than 1/P of all rows, and it gets
+    PARTS_PER_PARTITION parts for every 1/P it holds. So there are fewer than P hot keys and fewer
+    than 5 P parts, whatever the size of the data.
     """
     partitions = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = sizes.agg(F.sum(rows)).scalar()
-    parts = F.ceil(F.col(rows) * partitions / total).cast("int")
+    parts = F.ceil(F.col(rows) * PARTS_PER_PARTITION * partitions / total).cast("int")
     return sizes.where(F.col(rows) * partitions > total).select(key, parts.alias("_parts"))
 
 
