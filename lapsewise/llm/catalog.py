@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, common, language, quality, toxicity
+from lapsewise.llm import bpe, common, language, licenses, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,20 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_secrets(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in secrets.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_bpe(spark, sf_dir):
     common.small_batches(spark)
     path, pattern = default_vocabulary()
@@ -34,6 +48,19 @@ def op4_quality(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_licenses(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.build_index(docs))
+    names = F.transform("templates", lambda t: t["template"])
+    best = F.array_max(F.transform("templates", lambda t: t["share"]))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join(F.array_sort("base_labels"), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base_labels", names)), ",").alias("labels"),
+        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
 def op7_language(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language.predict(docs.select("doc_id", "text"), language.fit(docs))
@@ -50,7 +77,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op3_bpe, op4_quality, op7_language, op10_toxicity)}
+    return {f.__name__: f for f in (op2_secrets, op3_bpe, op4_quality, op5_licenses, op7_language, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
