@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, common, language, licenses, quality, secrets, toxicity
+from lapsewise.llm import bpe, common, dedup, language, licenses, mixing, quality, secrets, toxicity
+
+
+#: Target weights of the mix by tree path; paths not listed weigh 1.
+MIX_WEIGHTS = {
+    ("works",): 2.0, ("notes",): 1.0,
+    ("works", "en"): 2.0, ("notes", "en"): 2.0,
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +74,18 @@ def op7_language(spark, sf_dir):
     return out.select("doc_id", (common.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_minhash(spark, sf_dir):
+    return dedup.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_mixing(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", mixing.length_domain(F.col("text")).alias("domain"),
+        mixing.n_words(F.col("text")).alias("n_tokens"),
+    )
+    return mixing.select(docs, MIX_WEIGHTS, share=0.8, epochs=2)
+
+
 def op10_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
@@ -77,7 +96,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op2_secrets, op3_bpe, op4_quality, op5_licenses, op7_language, op10_toxicity)}
+    return {f.__name__: f for f in (op2_secrets, op3_bpe, op4_quality, op5_licenses, op7_language, op8_minhash, op9_mixing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
