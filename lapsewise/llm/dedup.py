@@ -83,7 +83,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
     time, step = np.zeros(len(seed)), 0
     while len(seed):
         step += 1
-        state = mix(seed + np.uint64(step) * np.uint64(0x9E3779B97F4A7C15))
+        state = mix(seed + np.uint64(step * 0x9E3779B97F4A7C15 % (1 << 64)))
         time = time - np.log(_uniform(state)) / length
         place = mix(state ^ np.uint64(0xA5A5A5A5A5A5A5A5))
         slot = owner * registers + (place % np.uint64(registers)).astype(np.int64)
