@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, common, dedup, language, licenses, mixing, quality, secrets, toxicity
+from lapsewise.llm import bpe, common, dedup, html_text, language, licenses, mixing, neighbours, quality, secrets, toxicity
 
 
 #: Target weights of the mix by tree path; paths not listed weigh 1.
@@ -26,6 +26,10 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_neighbours(spark, sf_dir):
+    return neighbours.search(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_secrets(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.scan(docs, secrets.fit(docs))
@@ -68,6 +72,12 @@ def op5_licenses(spark, sf_dir):
     )
 
 
+def op6_html(spark, sf_dir):
+    common.small_batches(spark)
+    pages = html_text.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op7_language(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     out = language.predict(docs.select("doc_id", "text"), language.fit(docs))
@@ -96,7 +106,12 @@ def op10_toxicity(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op2_secrets, op3_bpe, op4_quality, op5_licenses, op7_language, op8_minhash, op9_mixing, op10_toxicity)}
+    return {
+        f.__name__: f for f in (
+            op1_neighbours, op2_secrets, op3_bpe, op4_quality, op5_licenses, op6_html, op7_language, op8_minhash,
+            op9_mixing, op10_toxicity,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
