@@ -2,8 +2,8 @@
 
 Vectors gain one component that makes all lengths equal, so the largest inner product is the smallest
 distance. Centroids come from k-means on a bounded sample; every vector is written to the lists of
-its nearest centroids, boundary vectors to several (the next centroid must be almost as near, and
-nearer to the vector than to the centroids already taken). A query walks a neighbour graph of the
+its nearest centroids, boundary vectors to several (the next centroid must be almost as near and
+stand apart from those already taken). A query walks a neighbour graph of the
 centroids in memory and opens the lists whose distance is within ``RATIO`` of the nearest. Lists and
 their queries are cut into blocks of bounded size, and scores come from the original vectors in
 double precision.
@@ -27,11 +27,14 @@ from pyspark.sql.window import Window
 from lapsewise.storage import write_and_reload
 
 #: Vectors that k-means sees, and centroids, at most; vectors per list aimed at.
-SAMPLE_ROWS, MOST_LISTS, LIST_ROWS = 50_000, 2048, 100
+SAMPLE_ROWS, MOST_LISTS, LIST_ROWS = 50_000, 2048, 200
 #: Lists of one vector at most, and how much farther than the nearest a list of it may be.
-COPIES, SLACK = 4, 1.15
-#: Lists opened by a query: at most so much farther than the nearest, at least and at most so many.
-RATIO, LEAST_LISTS, TOP_LISTS = 1.6, 8, 64
+COPIES, SLACK = 3, 1.5
+#: Centroids closer to each other than this share of a vector's distance do not both hold it.
+APART = 0.2
+#: Lists opened by a query: at most so much farther than the nearest, at least so many, at most so many
+#: or this share of all lists.
+RATIO, LEAST_LISTS, TOP_LISTS, TOP_SHARE = 1.6, 8, 64, 0.25
 #: Vectors, and queries, of one list that go to one task.
 BLOCK_ROWS = 4096
 SALTS = 16
@@ -83,12 +86,12 @@ class Centroids:
         for i, d in zip(ids[1:].tolist(), dist[1:].tolist()):
             if len(taken) == COPIES or d > SLACK**2 * dist[0]:
                 break
-            if all(((self.points[i] - self.points[j]) ** 2).sum() > d for j in taken):
+            if all(((self.points[i] - self.points[j]) ** 2).sum() > APART**2 * d for j in taken):
                 taken.append(i)
         return taken
 
     def opened_by(self, x: np.ndarray) -> list[int]:
-        ids, dist = self.search(x, TOP_LISTS)
+        ids, dist = self.search(x, max(TOP_LISTS, int(len(self.points) * TOP_SHARE)))
         return ids[(dist <= RATIO**2 * dist[0]) | (np.arange(len(ids)) < LEAST_LISTS)].tolist()
 
 
@@ -114,9 +117,10 @@ def fit_centroids(x: np.ndarray, count: int, rounds: int = 8, seed: int = 3) ->
 
 
 def usable(table: DataFrame) -> DataFrame:
-    """(vec_id, x) of the rows that take part, x in double precision."""
-    x = F.col("embedding").cast("array<double>")
-    fine = table.where("vec_id is not null and embedding is not null").select(F.col("vec_id").cast("long"), x.alias("x"))
+    """(vec_id, x) of the rows that take part, x in the type given."""
+    fine = table.where("vec_id is not null and embedding is not null").select(
+        F.col("vec_id").cast("long"), F.col("embedding").alias("x")
+    )
     bad = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     fine = fine.where(~bad & F.exists("x", lambda v: v != 0))
     usual = fine.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -126,7 +130,8 @@ def usable(table: DataFrame) -> DataFrame:
 def search(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     """The ``top`` nearest of each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score."""
     spark = table.sparkSession
-    rows = write_and_reload(usable(table), "ann-rows")
+    rows = usable(table)
+    kind = rows.schema["x"].dataType.simpleString()
     # Equal vectors: the smallest ids suffice, one more than asked for as a query leaves itself out.
     order = Window.partitionBy("x").orderBy("vec_id")
     ids = (
@@ -135,19 +140,19 @@ def search(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     )
     vectors = write_and_reload(ids.select(F.element_at("ids", 1).alias("rep"), "x", "ids"), "ann-vectors")
     asked = rows.where(F.col("vec_id") % every == 0)
-    stats = vectors.agg(F.count("*"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)))).first()
+    stats = vectors.agg(F.count("*"), F.max(F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))))).first()
     if not stats[0]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n, longest = stats
     sample = vectors.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_ROWS / n)))
-    sample = np.array([r.x for r in sample.select("x").orderBy("x").collect()] or [vectors.first().x])
+    sample = np.array([[float(v) for v in r.x] for r in sample.select("x").orderBy("x").collect()] or [vectors.first().x], dtype=np.float64)
     lists = max(1, min(MOST_LISTS, n // LIST_ROWS, len(sample)))
     shared = spark.sparkContext.broadcast((Centroids(fit_centroids(lengthened(sample, longest), lists)), longest))
 
     def listed(batches):
         centroids, longest = shared.value
         for batch in batches:
-            x = lengthened(np.stack(batch["x"]), longest)
+            x = lengthened(np.stack(batch["x"]).astype(np.float64), longest)
             found = [centroids.lists_of(v) for v in x]
             yield batch.assign(list=found)
 
@@ -155,23 +160,21 @@ def search(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     def opened(batches):
         centroids, longest = shared.value
         for batch in batches:
-            x = np.stack(batch["x"])
+            x = np.stack(batch["x"]).astype(np.float64)
             x = np.hstack([x / np.sqrt((x**2).sum(axis=1, keepdims=True)) * longest, np.zeros((len(x), 1))])
             yield batch[["rep", "x"]].assign(list=[centroids.opened_by(v) for v in x])
 
     index = write_and_reload(
-        vectors.mapInPandas(listed, "rep long, x array<double>, ids array<long>, list array<int>")
-        .withColumn("list", F.explode("list")), "ann-index",
-    )
+        vectors.mapInPandas(listed, f"rep long, x {kind}, ids array<long>, list array<int>"), "ann-index"
+    ).withColumn("list", F.explode("list"))
     spread = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     reps = vectors.select("x", "rep").withColumn("_salt", spread)
     salted = asked.distinct().withColumn("_salt", F.pmod("vec_id", F.lit(SALTS)).cast("int"))
     queries = write_and_reload(salted.join(reps, ["x", "_salt"]).select(F.col("vec_id").alias("query_id"), "rep"), "ann-queries")
     asked_reps = vectors.join(queries.select("rep").distinct(), "rep")
     visits = write_and_reload(
-        asked_reps.mapInPandas(opened, "rep long, x array<double>, list array<int>").withColumn("list", F.explode("list")),
-        "ann-visits",
-    )
+        asked_reps.mapInPandas(opened, f"rep long, x {kind}, list array<int>"), "ann-visits"
+    ).withColumn("list", F.explode("list"))
 
     # One row per list, at most MOST_LISTS.
     def blocks(of: DataFrame, name: str) -> DataFrame:
@@ -192,10 +195,10 @@ def search(table: DataFrame, every: int = 20, top: int = 20) -> DataFrame:
     def compare(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(v):
-            x, rep, ids = np.stack(v["x"]), v["rep"].to_numpy(), v["ids"].to_numpy()
+            x, rep, ids = np.stack(v["x"]).astype(np.float64), v["rep"].to_numpy(), v["ids"].to_numpy()
             for i in range(0, len(q), 256):
                 part = q.iloc[i : i + 256]
-                y = np.stack(part["x"])
+                y = np.stack(part["x"]).astype(np.float64)
                 rough = y @ x.T
                 keep = min(2 * top + 2, len(v))
                 near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep]
