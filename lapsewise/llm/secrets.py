@@ -72,17 +72,21 @@ def _scan(docs: DataFrame) -> DataFrame:
 
 
 def _log_shares(counts: dict[str, int], smooth: float) -> list[float]:
+    """Log chance of each transition; rare contexts lean on how common the next character is at all."""
     first: dict[str, int] = {}
+    after: dict[str, int] = {}
     for pair, n in counts.items():
         first[pair[0]] = first.get(pair[0], 0) + n
-    codes = range(FIRST_CODE, FIRST_CODE + CODES)
+        after[pair[1]] = after.get(pair[1], 0) + n
+    total = sum(counts.values()) + ALPHABET
+    chars = [chr(code) for code in range(FIRST_CODE, FIRST_CODE + CODES)]
+    common = {c: (after.get(c, 0) + 1) / total for c in chars}
     return [
-        math.log((counts.get(chr(a) + chr(b), 0) + smooth) / (first.get(chr(a), 0) + smooth * ALPHABET))
-        for a in codes for b in codes
+        math.log((counts.get(a + b, 0) + smooth * common[b]) / (first.get(a, 0) + smooth)) for a in chars for b in chars
     ]
 
 
-def fit(docs: DataFrame, smooth: float = 1.0) -> list[float] | None:
+def fit(docs: DataFrame, smooth: float = 20.0) -> list[float] | None:
     """Log-likelihood ratio of each bigram, random against ordinary, counted over all documents."""
     rules = "|".join([ASSIGN, ACCESS[:-1] + "{14,}", HEX[:-1] + "{16,}"])
     samples = _scan(docs.select("text")).select(
