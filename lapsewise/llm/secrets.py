@@ -1,7 +1,8 @@
 """Secret scan with character Markov models, in SQL functions alone.
 
 Fixed rules find labelled samples: the values of assignments, access keys and long hex runs are the
-random strings, the ASCII runs of all remaining text the ordinary ones. Two first-order Markov
+random strings, the ASCII runs of all remaining text the ordinary ones (candidates themselves train
+neither side). Two first-order Markov
 models are counted over all documents; a run that no rule covers is a secret if its mean
 log-likelihood ratio exceeds ``limit``. Null and empty texts have no spans. Without samples the rules
 alone decide. Repeated rows get equal spans. Offsets are code points, the end exclusive.
@@ -88,7 +89,7 @@ def _log_shares(counts: dict[str, int], smooth: float) -> list[float]:
 
 def fit(docs: DataFrame, smooth: float = 20.0) -> list[float] | None:
     """Log-likelihood ratio of each bigram, random against ordinary, counted over all documents."""
-    rules = "|".join([ASSIGN, ACCESS[:-1] + "{14,}", HEX[:-1] + "{16,}"])
+    rules = "|".join([ASSIGN, ACCESS[:-1] + "{14,}", HEX[:-1] + "{16,}", r"(?=[A-Za-z+/_-]*[0-9])" + RUN])
     samples = _scan(docs.select("text")).select(
         F.explode(
             F.array(
