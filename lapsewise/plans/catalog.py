@@ -1,6 +1,7 @@
 """Every operator as a named query over the star-schema tables: (spark, sf_dir) -> DataFrame."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -202,17 +203,8 @@ def candidates(table: DataFrame) -> list[str]:
     return selection.features_to_keep(table, FEATURES)
 
 
-# Light settings, so that the whole list of queries runs in minutes; the library defaults are full size.
-LIGHT = {
-    "RandomForestClassifier": {"numTrees": 10},
-    "LogisticRegression": {"maxIter": 20},
-    "GBTClassifier": {"maxIter": 5},
-    "LinearSVC": {"maxIter": 10},
-}
-
-
-def light(kinds: list[str], **options) -> modelling.Training:
-    return modelling.Training(kinds=kinds, params=LIGHT, **{"folds": 3, **options})
+#: Feature counts of the tuning sweep.
+TUNED_COUNTS = range(4, 25, 4)
 
 
 def one_round(spark: SparkSession, sf: str, training: modelling.Training, k: int = 8) -> modelling.Round:
@@ -222,56 +214,58 @@ def one_round(spark: SparkSession, sf: str, training: modelling.Training, k: int
 
 def predict(kind: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        done = one_round(spark, sf, light([kind], cross_validate=False))
+        done = one_round(spark, sf, modelling.Training(kinds=[kind], cross_validate=False))
         return modelling.predictions(done.models[0], done.test_df).select("userId", "churn", "prediction")
 
     return query
 
 
 def cv_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    done = one_round(spark, sf, light(["LogisticRegression"], folds=5))
+    done = one_round(spark, sf, modelling.Training(kinds=["LogisticRegression"]))
     return modelling.fold_metrics(spark, done.models[0])
 
 
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    done = one_round(spark, sf, light(["LinearSVC"], tune=True))
-    return modelling.fold_metrics(spark, done.models[0])
+    """Cross-validated F1 of every point of the four grids."""
+    done = one_round(spark, sf, modelling.Training(kinds=modelling.TUNED, tune=True))
+    return reduce(DataFrame.unionByName, [modelling.fold_metrics(spark, trained) for trained in done.models])
 
 
 def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    done = one_round(spark, sf, light(modelling.SWEPT))
+    done = one_round(spark, sf, modelling.Training())
     return modelling.metric_table(spark, done.metrics)
 
 
 def evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    done = one_round(spark, sf, light(["RandomForestClassifier"], cross_validate=False))
+    done = one_round(spark, sf, modelling.Training(kinds=["RandomForestClassifier"], cross_validate=False))
     return modelling.evaluation(done.models[0], done.train_df, done.test_df)
 
 
 def experiment_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Default grids over two feature counts."""
+    """Default grids of all classifiers over every fourth feature count."""
 
     def build() -> DataFrame:
         table = written_features(spark, sf)
-        training = light(["RandomForestClassifier", "LogisticRegression", "DecisionTreeClassifier"])
-        return modelling.sweep(table, candidates(table), [4, 8], training)
+        names = candidates(table)
+        return modelling.sweep(table, names, modelling.swept_feature_counts(names), modelling.Training())
 
     return once(spark, sf, "sweep", build)
 
 
 def tuning_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Searched grids over two feature counts, best F1 first."""
+    """Searched grids over the tuned feature counts that the table has, best F1 first."""
 
     def build() -> DataFrame:
         table = written_features(spark, sf)
-        return modelling.sweep(table, candidates(table), [4, 8], light(["LinearSVC"], tune=True))
+        names = candidates(table)
+        counts = [k for k in TUNED_COUNTS if k <= len(names)]
+        return modelling.sweep(table, names, counts, modelling.Training(kinds=modelling.TUNED, tune=True))
 
     return once(spark, sf, "tuning", build).orderBy(F.desc("f1_score"), "num_best_features")
 
 
 def metric_curves(spark: SparkSession, sf: str) -> DataFrame:
-    models = ["RandomForestClassifier", "LogisticRegression", "DecisionTreeClassifier"]
-    return reports.metric_curves(experiment_sweep(spark, sf), models)
+    return reports.metric_curves(experiment_sweep(spark, sf), modelling.SWEPT)
 
 
 def time_per_param(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,15 +280,14 @@ def best_model_refit(spark: SparkSession, sf: str) -> DataFrame:
     """Forest of depth 5 on the 12 best features, with running importances."""
     training = modelling.Training(
         kinds=["RandomForestClassifier"],
-        folds=3,
-        params={"RandomForestClassifier": {"maxDepth": 5, "numTrees": 20}},
+        params={"RandomForestClassifier": {"maxDepth": 5, "numTrees": 100}},
     )
     done = one_round(spark, sf, training, k=12)
     return reports.cumulative_importance(modelling.feature_importance(done.models[0]))
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    done = one_round(spark, sf, light(["GBTClassifier"], cross_validate=False))
+    done = one_round(spark, sf, modelling.Training(kinds=["GBTClassifier"], cross_validate=False))
     return reports.cumulative_importance(modelling.feature_importance(done.models[0]))
 
 
