@@ -2,7 +2,7 @@
 
 Words are ASCII letters and digits (lower-cased) and all other non-ASCII characters. Document
 frequencies of template words are counted over all documents; each template's rarest words form
-the index with their positions. A file looks up its highest-IDF index words, hits that keep the same
+the index with their positions. A file looks up all of its index words, hits that keep the same
 distance between file and template position vote for that placement, and a placement with enough
 votes counts if the file also has the template's mandatory phrase. Null and empty texts have no
 words and no labels. Repeated rows get equal labels, ties between placements do not matter as the
@@ -42,8 +42,8 @@ MANDATORY = {
     "mit-grant": "free of charge to any person", "mit-release": "released under the mit license",
     "mpl-2.0": "mozilla public license v 2 0",
 }
-#: Index words of each template, and index words that a file looks up, rarest first.
-RARE_WORDS, LOOKUPS = 6, 24
+#: Index words of each template.
+RARE_WORDS = 6
 #: Share of a template's index words that one placement must hit.
 QUORUM = 0.6
 
@@ -80,7 +80,7 @@ def build_index(docs: DataFrame, text: str = "text", rare_words: int = RARE_WORD
 def scan(docs: DataFrame, index: list[tuple[str, str, int, float]], key: str = "doc_id", text: str = "text") -> DataFrame:
     """Figures of the base rule, and the method's templates with their shares, of every row."""
     spark = docs.sparkSession
-    rarest = [w for w, _ in sorted({(w, v) for w, _, _, v in index}, key=lambda x: (-x[1], x[0]))]
+    indexed = sorted({w for w, _, _, _ in index})
     # Equal ids with different texts stay apart, a null id is a value like any other.
     mark = F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit("")))
     worded = docs.select(F.col(key), mark.alias("_mark"), lower_words(F.col(text)).alias("_words"))
@@ -115,8 +115,8 @@ def scan(docs: DataFrame, index: list[tuple[str, str, int, float]], key: str = "
     )  # a few words of each template
     sizes = {t: len({w for w, u, _, _ in index if u == t}) for t in TEMPLATES}
     size = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(sizes.items()) for x in pair]), F.col("template"))
-    # Each file looks up its highest-IDF index words: the intersection keeps the order of the index.
-    chosen = F.slice(F.array_intersect(_texts(rarest), F.col("_words")), 1, LOOKUPS)
+    # Each file looks up all of its index words: the index has a few dozen, so no template is lost to another.
+    chosen = F.array_intersect(_texts(indexed), F.col("_words"))
     placed = (
         worded.withColumn("_chosen", chosen).where(F.size("_chosen") > 1)
         .select("_mark", "_chosen", F.posexplode("_words").alias("_pos", "_word"))
