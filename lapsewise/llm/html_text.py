@@ -1,9 +1,10 @@
 """Main text of web pages by consensus of a host's pages on the container's path.
 
-Every page scores its containers by the text of their paragraphs less that of links; Spark counts
-the votes for generalised paths (tags with classes, digits made one) per host; every page is then
-extracted from the containers on its host's winning path, or from its own best container if it has
-none on that path. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+Every page scores its containers by the text of their paragraphs less that of links and climbs from
+the best to the ancestors that add nearly nothing but text, so that sections come with their headline
+and lead; Spark counts the votes for generalised paths (tags with classes, digits made one) per host;
+every page is then extracted from the containers on its host's winning path, or from its own best
+container if it has none on that path. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments inside are left out. Null and empty html, and pages without text, give the empty
 text. Votes that tie go to the higher score, then the path first in the alphabet. Pages without a
 host vote together. Repeated rows vote each time and get equal texts. An empty table gives none.
@@ -34,6 +35,15 @@ OUT_WORDS = {
     "consent", "disqus", "footer", "header", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "popup",
     "promo", "related", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget",
 }
+#: Words that leave a compound name of the words above what it is: related-posts, but not no-sidebar.
+OUT_FILLERS = {
+    "area", "bar", "block", "blocks", "box", "button", "buttons", "container", "form", "inner", "item", "items", "left",
+    "link", "links", "list", "posts", "right", "section", "signup", "site", "slot", "thread", "top", "bottom", "wrap",
+    "wrapper",
+}
+#: An element with more than this share of the page's text is no addition to it, whatever its name; an ancestor is
+#: climbed to if at least this share of what it adds is text outside links.
+MOST, ADDED_TEXT = 0.8, 0.7
 #: Hosts whose winners are broadcast at most; more are joined by a shuffle with the same result.
 BROADCAST_HOSTS = 100_000
 SALTS = 16
@@ -47,27 +57,51 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "out", "link", "holder")
+    __slots__ = ("tag", "path", "out", "named", "link", "holder")
 
-    def __init__(self, tag, path, out, link, holder):
-        self.tag, self.path, self.out, self.link, self.holder = tag, path, out, link, holder
+    def __init__(self, tag, path, out, named, link, holder):
+        self.tag, self.path, self.out, self.named, self.link, self.holder = tag, path, out, named, link, holder
 
 
 def _attribute(pattern: re.Pattern, rest: str) -> str:
     return " ".join(a or b or c for a, b, c in pattern.findall(rest))
 
 
-def read_blocks(html: str) -> list[tuple[str, tuple, bool]]:
-    """(text, containers from outer to inner as (number, path), within a link) of each kept piece of text;
-    a piece of None ends a block."""
-    root = Node("", "", False, False, ())
+def _is_addition(rest: str) -> bool:
+    """A whole class, id or role is one of OUT_WORDS, or made of them and of OUT_FILLERS."""
+    for name in _attribute(_NAMES, rest).lower().split():
+        parts = {part for part in re.split(r"[^a-z]+", name) if part}
+        if parts & OUT_WORDS and parts <= OUT_WORDS | OUT_FILLERS:
+            return True
+    return False
+
+
+def read_blocks(html: str) -> list[tuple[str, tuple, bool, bool]]:
+    """(text, containers from outer to inner as (number, path), within a link, left out) of each piece of
+    text; a piece of None ends a block."""
+    pieces = _pieces(html)
+    held: dict[int, int] = {}
+    total = 0
+    for piece, _, link, out, named in pieces:
+        if piece and not link and not out:
+            size = len(piece.strip())
+            total += size
+            for element in named:
+                held[element] = held.get(element, 0) + size
+    gone = {n for _, _, _, _, named in pieces for n in named if held.get(n, 0) <= MOST * total}
+    return [(piece, holder, link, out or not gone.isdisjoint(named)) for piece, holder, link, out, named in pieces]
+
+
+def _pieces(html: str) -> list[tuple[str, tuple, bool, bool, tuple]]:
+    """Text, containers, within a link, within an element of OUT_TAGS, elements around it named as additions."""
+    root = Node("", "", False, (), False, ())
     stack, out, at, number = [root], [], 0, 0
     raw_end = None
 
     def text(piece: str) -> None:
         top = stack[-1]
-        if piece and not top.out:
-            out.append((entities.unescape(piece), top.holder, top.link))
+        if piece:
+            out.append((entities.unescape(piece), top.holder, top.link, top.out, top.named))
 
     while True:
         if raw_end:
@@ -83,7 +117,7 @@ def read_blocks(html: str) -> list[tuple[str, tuple, bool]]:
         if not tag:
             continue
         if tag in BLOCKS:
-            out.append((None, (), False))
+            out.append((None, (), False, False, ()))
         if part["close"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -106,47 +140,79 @@ def read_blocks(html: str) -> list[tuple[str, tuple, bool]]:
                 if stack[i].tag in CONTAINERS or stack[i].tag in ("ul", "ol", "table"):
                     break
         top = stack[-1]
-        names = set(re.split(r"[^a-z]+", _attribute(_NAMES, rest).lower()))
-        gone = top.out or tag in OUT_TAGS or (tag not in ("body", "html") and bool(names & OUT_WORDS))
+        gone, named = top.out or tag in OUT_TAGS, top.named
+        if tag not in ("body", "html", "article", "main") and _is_addition(rest):
+            named = (*named, at)
         path, holder = top.path, top.holder
         if tag in CONTAINERS:
             kinds = ".".join(sorted(re.sub(r"\d+", "0", _attribute(_CLASS, rest)).split()))
             path = f"{path}/{tag}.{kinds}" if kinds else f"{path}/{tag}"
             number += 1
             holder = (*holder, (number, path))
-        stack.append(Node(tag, path, gone, top.link or tag == "a", holder))
+        stack.append(Node(tag, path, gone, named, top.link or tag == "a", holder))
 
 
-def container_scores(html: str) -> dict[str, float]:
+def container_scores(pieces: list[tuple[str, tuple, bool, bool]]) -> dict[str, float]:
     """Score of each path on one page: half of what a child holds counts for its parent."""
     scores: dict[str, float] = {}
-    for piece, holder, link in read_blocks(html):
+    for piece, holder, link, out in pieces:
+        if out:
+            continue
         size = len(piece.strip()) if piece else 0
         share = -0.5 if link else 1.0
-        for _, path in reversed(holder[-4:]):
+        for _, path in reversed(holder):
             scores[path] = scores.get(path, 0.0) + size * share
             share /= 2
     return scores
 
 
-def best_path(html: str) -> tuple[str, float]:
-    scores = container_scores(html)
-    return min(((-v, p) for p, v in scores.items()), default=(0.0, ""))[1::-1]
+def climbed(pieces: list[tuple[str, tuple, bool, bool]], path: str) -> str:
+    """The outermost container around ``path``, within its article or main, that adds nearly only text to it."""
+    around: list[str] = []
+    text: dict[str, int] = {}
+    linked: dict[str, int] = {}
+    for piece, holder, link, out in pieces:
+        paths = list(dict.fromkeys(p for _, p in holder))
+        if not around and path in paths:
+            around = paths[: paths.index(path) + 1]
+        size = len(piece.strip()) if piece and not out else 0
+        for p in paths:
+            text[p] = text.get(p, 0) + (0 if link else size)
+            linked[p] = linked.get(p, 0) + (size if link else 0)
+    while len(around) > 1 and _tag(around) not in ("article", "main"):
+        around = around[:-1]
+        if _tag(around) == "body":
+            break
+        more_text, more_links = text[around[-1]] - text[path], linked[around[-1]] - linked[path]
+        if more_text >= ADDED_TEXT * (more_text + more_links):
+            path = around[-1]
+    return path
+
+
+def _tag(around: list[str]) -> str:
+    """Tag of the innermost of the containers."""
+    return around[-1][len(around[-2]) if len(around) > 1 else 0 :].lstrip("/").split(".")[0]
+
+
+def best_path(pieces: list[tuple[str, tuple, bool, bool]]) -> tuple[str, float]:
+    """The container to extract, and the negative score of the best one, from which it was climbed to."""
+    score, path = min(((-v, p) for p, v in container_scores(pieces).items()), default=(0.0, ""))
+    return climbed(pieces, path), score
 
 
 def extract(html: str, path: str | None) -> str:
     """Text of the containers on ``path``; of the page's own best container if there is none."""
     pieces = read_blocks(html)
-    if not path or not any(p == path for _, holder, _ in pieces for _, p in holder):
-        path = best_path(html)[0]
+    if not path or not any(p == path for _, holder, _, out in pieces if not out for _, p in holder):
+        path = best_path(pieces)[0]
     blocks, now = [], []
-    for piece, holder, _ in [*pieces, (None, (), False)]:
+    for piece, holder, _, out in [*pieces, (None, (), False, False)]:
         if piece is None:
             line = _SPACE.sub(" ", "".join(now)).strip()
             if line:
                 blocks.append(line)
             now = []
-        elif not path or any(p == path for _, p in holder):
+        elif not out and (not path or any(p == path for _, p in holder)):
             now.append(piece)
     return "\n".join(blocks)
 
@@ -155,7 +221,7 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     """(host, path): the path with most votes of each host's pages."""
     def vote(batches):
         for batch in batches:
-            best = [best_path(h) if h else ("", 0.0) for h in batch["html"]]
+            best = [best_path(read_blocks(h)) if h else ("", 0.0) for h in batch["html"]]
             yield pd.DataFrame({"host": batch["host"], "path": [p for p, _ in best], "score": [-s for _, s in best]})
 
     votes = pages.select("host", "html").mapInPandas(vote, "host string, path string, score double").where("path <> ''")
