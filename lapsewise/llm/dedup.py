@@ -216,26 +216,30 @@ def components(edges: DataFrame, name: str = "dedup-components") -> DataFrame:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
 
 
+def _spaced(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
+
+
+def digest(key: Column, text: Column) -> Column:
+    """Equal word sequences share a digest; texts without words get one of their own."""
+    return F.when(_spaced(text) == "", F.concat(F.lit("id "), key.cast("long").cast("string"))).otherwise(
+        F.sha2(_spaced(text).cast("binary"), 256)
+    )
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id) of every row with a key."""
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    worded = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    spaced = F.trim(worded)
-    # Equal word sequences share a digest; texts without words get one of their own.
-    digest = F.when(spaced == "", F.concat(F.lit("id "), F.col("id").cast("string"))).otherwise(
-        F.sha2(spaced.cast("binary"), 256)
-    )
-    marked = docs.withColumn("digest", digest)
-    reps = marked.groupBy("digest").agg(F.min("id").alias("rep"))
-    members = write_and_reload(
-        _spread_join(marked.select("id", "digest"), reps, ["digest"], "id").groupBy("id").agg(F.min("rep").alias("rep")),
-        "dedup-members",
-    )
+    marked = docs.withColumn("digest", digest(F.col("id"), F.col("text")))
+    # One digest per id, then one id per digest: a representative stands for one text only.
+    counted = marked.groupBy("id").agg(F.min("digest").alias("digest"))
+    reps = counted.groupBy("digest").agg(F.min("id").alias("rep"))
+    members = write_and_reload(_spread_join(counted, reps, ["digest"], "id").select("id", "rep"), "dedup-members")
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    texts = reps.groupBy("rep").agg(F.min("digest").alias("least"))
+    texts = reps.withColumnRenamed("digest", "counted")
     kept = (
-        marked.where(spaced != "").join(texts, marked["id"] == texts["rep"]).where("digest = least")
-        .dropDuplicates(["rep"]).select("rep", "text")
+        marked.where(_spaced(F.col("text")) != "").join(texts, marked["id"] == texts["rep"])
+        .where("digest = counted").dropDuplicates(["rep"]).select("rep", "text")
     )
     sketches = write_and_reload(
         kept.mapInPandas(_sketched, "rep long, bands array<long>, items array<long>"), "dedup-sketches"
