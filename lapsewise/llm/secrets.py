@@ -1,10 +1,11 @@
 """Secret scan with character Markov models, in SQL functions alone.
 
 Fixed rules find labelled samples: the values of assignments, access keys and long hex runs are the
-random strings, the ASCII runs of all remaining text the ordinary ones (candidates themselves train
-neither side). Two first-order Markov
+random strings, the ASCII runs of all remaining text the ordinary ones, identifiers of the form being
+judged among them (other candidates with a digit train neither side). Two first-order Markov
 models are counted over all documents; a run that no rule covers is a secret if its mean
-log-likelihood ratio exceeds ``limit``. Null and empty texts have no spans. Without samples the rules
+log-likelihood ratio exceeds ``limit``, more for short runs. Runs joined by dots or equal signs are
+judged as one, then each by itself. Null and empty texts have no spans. Without samples the rules
 alone decide. Repeated rows get equal spans. Offsets are code points, the end exclusive.
 """
 
@@ -23,12 +24,21 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 KINDS = ["assign", "access", "hex", "random"]
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-#: A run of these characters may be a random string.
-RUN = r"[A-Za-z0-9+/_-]{20,}"
+#: Runs of these characters may be random strings, by themselves or joined by dots and equal signs.
+LEAST_RUN = 12
+CHARS = "A-Za-z0-9+/_-"
+RUN = rf"[{CHARS}]{{{LEAST_RUN},}}"
+JOINED = rf"[{CHARS}][.={CHARS}]{{{LEAST_RUN - 1},}}(?<=[{CHARS}])"
+#: Paths, slugs and versioned names: words and short numbers between separators.
+_PART = r"(?:[A-Za-z]++[0-9]{0,4}|[0-9]{1,8})"
+IDENTIFIER = rf"{_PART}(?:[+/_-]{_PART})+(?![{CHARS}])"
 #: Bigrams of the models: both characters within a run.
 BIGRAM = r"(?=([A-Za-z0-9+/_-]{2}))"
+#: Runs with a digit that are no identifiers.
+CANDIDATE = rf"(?<![{CHARS}])(?=[A-Za-z+/_-]*[0-9])(?!{IDENTIFIER}){RUN}"
 FIRST_CODE, CODES, ALPHABET = 43, 80, 66
-LIMIT = 0.7
+#: Limit of runs of FULL_RUN characters and more; the mean of a shorter one strays with the root of its length.
+LIMIT, FULL_RUN = 0.7, 20
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -89,7 +99,7 @@ def _log_shares(counts: dict[str, int], smooth: float) -> list[float]:
 
 def fit(docs: DataFrame, smooth: float = 20.0) -> list[float] | None:
     """Log-likelihood ratio of each bigram, random against ordinary, counted over all documents."""
-    rules = "|".join([ASSIGN, ACCESS[:-1] + "{14,}", HEX[:-1] + "{16,}", r"(?=[A-Za-z+/_-]*[0-9])" + RUN])
+    rules = "|".join([ASSIGN, ACCESS[:-1] + "{14,}", HEX[:-1] + "{16,}", CANDIDATE])
     samples = _scan(docs.select("text")).select(
         F.explode(
             F.array(
@@ -111,7 +121,11 @@ def fit(docs: DataFrame, smooth: float = 20.0) -> list[float] | None:
     if not sides[1]:
         return None
     ordinary, random = (_log_shares(side, smooth) for side in sides)
-    return [r - o for r, o in zip(random, ordinary)]
+    # The joints of a run say nothing.
+    joints = {ord(c) - FIRST_CODE for c in ".="}
+    return [
+        0.0 if joints & {*divmod(i, CODES)} else r - o for i, (r, o) in enumerate(zip(random, ordinary))
+    ]
 
 
 def likelihood_ratio(run: Column, model: list[float]) -> Column:
@@ -130,17 +144,27 @@ def scan(docs: DataFrame, model: list[float] | None, limit: float = LIMIT) -> Da
     found = _scan(docs)
     if model is None:
         return found.withColumn("spans", F.col("_base")).drop("_text", "_base")
-    mixed = F.filter(
-        matches(F.col("_text"), RUN), lambda m: m["value"].rlike("[0-9]") & m["value"].rlike("[A-Za-z]")
-    )
-    found = found.withColumn("_runs", mixed)
-    fresh = F.filter(
-        "_runs",
-        lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        & (likelihood_ratio(m["value"], model) > limit),
-    )
+
+    def is_secret(m: Column) -> Column:
+        least = limit * F.sqrt(F.greatest(F.lit(1.0), FULL_RUN / F.length(m["value"])))
+        free = ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+        return free & m["value"].rlike("[A-Za-z0-9]") & (likelihood_ratio(m["value"], model) > least)
+
+    def pieces(m: Column) -> Column:
+        return F.transform(
+            matches(m["value"], RUN),
+            lambda p: F.struct(
+                (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end"), p["value"].alias("value")
+            ),
+        )
+
+    found = found.withColumn("_runs", matches(F.col("_text"), JOINED))
+    found = found.withColumn("_whole", F.filter("_runs", is_secret))
+    rest = F.filter(F.array_except("_runs", "_whole"), lambda m: m["value"].rlike("[.=]"))
+    found = found.withColumn("_pieces", F.filter(F.flatten(F.transform(rest, pieces)), is_secret))
+    fresh = F.concat("_whole", "_pieces")
     return found.withColumn("spans", F.array_sort(F.concat("_base", _named("random", fresh)))).drop(
-        "_text", "_base", "_runs"
+        "_text", "_base", "_runs", "_whole", "_pieces"
     )
 
 
