@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import bpe, common, dedup, html_text, language, licenses, mixing, neighbours, quality, secrets, toxicity
+from lapsewise.llm import (
+    bpe, common, dedup, divergence, html_text, language, lexical, licenses, mixing, neighbours, pii, quality, secrets,
+    sql, toxicity,
+)
 
 
 #: Target weights of the mix by tree path; paths not listed weigh 1.
@@ -105,14 +108,31 @@ def op10_toxicity(spark, sf_dir):
     )
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+def op12_pii(spark, sf_dir):
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.PLAIN))
+    return found.select(
+        "doc_id", *(pii.n_of(F.col("pii"), kind).alias(f"n_{kind}") for kind in pii.PLAIN),
+        F.sha2(pii.as_text(base).cast("binary"), 256).alias("base_sha256"), pii.as_text(F.col("pii")).alias("spans"),
+    )
+
+
+def op13_lexical(spark, sf_dir):
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {
         f.__name__: f for f in (
             op1_neighbours, op2_secrets, op3_bpe, op4_quality, op5_licenses, op6_html, op7_language, op8_minhash,
-            op9_mixing, op10_toxicity,
+            op9_mixing, op10_toxicity, op11_divergence, op12_pii, op13_lexical,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.SQL)
