@@ -2,15 +2,18 @@
 
 Each language has a vocabulary of its own: the terms in at least ``MIN_DOCS`` of its documents, by
 CountVectorizer with the largest vocabSize. One fit serves all languages, as every term carries its
-language, so that document counts are counts within the language and no language costs a pass of its own. The
-vectors are exact sparse counts; they are added up sparsely per (language, source), never as
-dense sums. Pairs are evaluated from terms that both sources hold, and the rest in closed form: with
-z the p of a term that a source does not hold, f(p, q) over all terms is
+language, so that document counts are counts within the language and no language costs a pass of its own.
+What the fit reads is reduced first: of the documents of a task that hold a term, at most ``MIN_DOCS`` are
+handed on, which decides alike. The exact sparse count vectors over that vocabulary are
+built where the documents are and added up sparsely per (language, source), never as dense sums. Pairs are
+evaluated from the terms that both sources hold, and the rest in closed form: with z the p of a term
+that a source does not hold, f(p, q) over all V terms is
 
     V f(za, zb) + sum over a (f(pa, zb) - f(za, zb)) + sum over b (f(za, qb) - f(za, zb))
                 + sum over both (f(pa, qb) - f(pa, zb) - f(za, qb) + f(za, zb)),
 
-whole numbers throughout. The sums over one source depend on its counts only, so they run over its distinct counts.
+whole numbers throughout, exact up to 9 * 10**13 terms (beyond, Spark raises an overflow error). The sums over one
+source depend on its counts only, so they run over its distinct counts.
 
 CountVectorizer holds its vocabulary on the driver and in each task. That is bounded: the vocabulary's size is
 estimated from a hash slice of all terms, and terms are dealt by hash into as many models as keep
@@ -23,12 +26,11 @@ ordered by item. Other columns are not read. Texts of any length are taken whole
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,61 +38,104 @@ from pyspark.sql import functions as F
 from lapsewise.llm.terms import byte_table, terms
 from lapsewise.storage import write_and_reload
 
-MIN_DOCS, TOP_TERMS, UNIT = 3, 200, 1_000_000_000
+MIN_DOCS, TOP_TERMS = 3, 200
 #: Terms per model, about; the slice of all terms that the estimate counts.
 MODEL_TERMS, SLICE = 1_500_000, 64
-#: Pairs of sources that a task adds up before it hands them on.
-PAIRS_AT_ONCE = 1_000_000
+#: Terms or counts that a task holds before it hands them on, terms per row it writes, pairs it adds up.
+TERMS_AT_ONCE, TERMS_A_ROW, COUNTS_AT_ONCE, PAIRS_AT_ONCE = 800_000, 20_000, 1_000_000, 1_000_000
 _TABLE = byte_table(digits=False)
+_NONE = np.zeros(0, dtype=np.int64)
+
 
+def term_rows(docs: DataFrame) -> DataFrame:
+    """(terms): rows of terms, each led by its language's bytes in hex and a colon. A term stands in as many rows as
+    documents of the task hold it, but in no more than ``MIN_DOCS`` each time the task hands on."""
 
-def tagged_terms(docs: DataFrame, parts: int, part: int, distinct: bool = False) -> DataFrame:
-    """(source, terms): the terms whose hash falls into ``part``, each led by its language's bytes in hex and a colon."""
+    def flushed(holding: dict[bytes, Counter]):
+        for times in range(MIN_DOCS):
+            row = [tag + t for tag, counts in holding.items() for t, n in counts.items() if n > times]
+            for i in range(0, len(row), TERMS_A_ROW):
+                values = pa.array(row[i : i + TERMS_A_ROW], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays([0, len(values)], values)], ["terms"])
 
-    @F.arrow_udf("array<string>")
-    def run(langs: pa.Array, texts: pa.Array) -> pa.Array:
-        rows = []
-        for lang, data in zip(langs.to_pylist(), texts.to_pylist()):
-            found = terms(data, _TABLE)
-            if distinct:
-                found = set(found)
-            if parts > 1:
-                found = [t for t in found if zlib.crc32(t) % parts == part]
-            # No term and no tag holds a space, so one joined string per text is split by Arrow.
-            rows.append(lang + b" ".join(found).replace(b" ", b" " + lang) if found else None)
-        split = pc.split_pattern(pa.array(rows, pa.binary()).cast(pa.string()), " ")
-        return pc.fill_null(split, pa.scalar([], pa.list_(pa.string())))
+    def count(batches):
+        holding: dict[bytes, Counter] = {}
+        for batch in batches:
+            for tag, data in zip(batch.column("tag").to_pylist(), batch.column("data").to_pylist()):
+                holding.setdefault(tag, Counter()).update(set(terms(data, _TABLE)))
+            if sum(map(len, holding.values())) > TERMS_AT_ONCE:
+                yield from flushed(holding)
+                holding = {}
+        yield from flushed(holding)
 
-    tag = F.concat(F.hex(F.col("lang").cast("binary")), F.lit(":")).cast("binary")
-    return docs.select("source", run(tag, F.col("text").cast("binary")).alias("terms"))
+    return docs.select("tag", "data").mapInArrow(count, "terms array<string>")
 
 
-def n_models(docs: DataFrame) -> int:
-    """Models needed to hold the vocabulary, from the terms of one hash slice counted over all documents."""
-    slice_terms = tagged_terms(docs, SLICE, 0, distinct=True).select(F.explode("terms").alias("term"))
-    kept = slice_terms.groupBy("term").count().where(F.col("count") >= MIN_DOCS).count()
+def n_models(rows: DataFrame) -> int:
+    """Models needed to hold the vocabulary, from the terms of one hash slice."""
+    one = rows.select(F.explode("terms").alias("term")).where(F.pmod(F.xxhash64("term"), F.lit(SLICE)) == 0)
+    kept = one.groupBy("term").count().where(F.col("count") >= MIN_DOCS).count()
     return max(1, -(-kept * SLICE // MODEL_TERMS))
 
 
-def group_counts(docs: DataFrame, parts: int, part: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, term, no) of the kept terms of one part and (source, no, n) with their counts per group."""
-    spark = docs.sparkSession
-    rows = tagged_terms(docs, parts, part).select("source", "terms")
+def vocabulary(rows: DataFrame, parts: int, part: int) -> list[str]:
+    """The kept terms of one part."""
+    if parts > 1:
+        mine = lambda t: F.pmod(F.xxhash64(F.lit(1), t), F.lit(parts)) == part
+        rows = rows.select(F.filter("terms", mine).alias("terms"))
     # CountVectorizer refuses an empty vocabulary: an empty term, in three rows, is always in it.
-    extra = spark.range(MIN_DOCS, numPartitions=1).select(F.lit("").alias("source"), F.array(F.lit("")).alias("terms"))
-    model = CountVectorizer(
-        inputCol="terms", outputCol="vector", minDF=float(MIN_DOCS), vocabSize=2**31 - 1
-    ).fit(rows.unionByName(extra))
-    names = pd.DataFrame({"term": model.vocabulary})
-    names["no"] = names.index
-    named = spark.createDataFrame(names).where("term <> ''").select(
-        F.unhex(F.substring_index("term", ":", 1)).cast("string").alias("lang"),
-        F.substring_index("term", ":", -1).alias("term"), (F.col("no").cast("long") + F.lit(part * 2**32)).alias("no"),
+    extra = rows.sparkSession.range(MIN_DOCS, numPartitions=1).select(F.array(F.lit("")).alias("terms"))
+    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(MIN_DOCS), vocabSize=2**31 - 1).fit(
+        rows.unionByName(extra)
+    )
+    return sorted(filter(None, model.vocabulary))
+
+
+def group_counts(docs: DataFrame, words: list[str], part: int) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, no, n): counts of one part's terms per group, and (no, tag, term) of its terms."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast([w.encode() for w in words])
+    base = part << 32
+
+    def add_up(batches):
+        number: dict[bytes, dict[bytes, int]] = {}
+        for i, word in enumerate(shared.value):
+            tag, _, term = word.partition(b":")
+            number.setdefault(tag + b":", {})[term] = i
+        # Per group a sparse vector: number of a term to its count.
+        vectors: dict[tuple[str, str], Counter] = {}
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("lang", "source", "tag", "data"))
+            for lang, source, tag, data in zip(*columns):
+                get = number.get(tag, {}).get
+                vector = vectors.setdefault((lang, source), Counter())
+                vector.update([i for i in map(get, terms(data, _TABLE)) if i is not None])
+            if sum(map(len, vectors.values())) > COUNTS_AT_ONCE:
+                yield from out(vectors)
+                vectors = {}
+        yield from out(vectors)
+
+    def out(vectors):
+        for (lang, source), vector in vectors.items():
+            for i in range(0, len(vector), 100_000):
+                no = np.fromiter(islice(vector, i, i + 100_000), dtype=np.int64) + base
+                n = np.fromiter(islice(vector.values(), i, i + 100_000), dtype=np.int64)
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([lang] * len(no), pa.string()), "source": pa.array([source] * len(no), pa.string()),
+                    "no": no, "n": n,
+                })
+
+    def name(batches):
+        for _ in batches:
+            for i in range(0, len(shared.value), 100_000):
+                words = [w.partition(b":") for w in shared.value[i : i + 100_000]]
+                tags, found = (pa.array([w[k] for w in words], pa.binary()).cast(pa.string()) for k in (0, 2))
+                yield pa.RecordBatch.from_pydict({"no": np.arange(i, i + len(words)) + base, "tag": tags, "term": found})
+
+    sums = docs.mapInArrow(add_up, "lang string, source string, no long, n long")
+    return sums.groupBy("lang", "source", "no").agg(F.sum("n").alias("n")), spark.range(1, numPartitions=1).mapInArrow(
+        name, "no long, tag string, term string"
     )
-    vectors = model.transform(rows).select("source", F.unwrap_udt("vector").alias("v")).select("source", "v.*")
-    entries = vectors.select("source", F.explode(F.arrays_zip("indices", "values")).alias("e"))
-    sums = entries.groupBy("source", F.col("e.indices").alias("no")).agg(F.sum(F.col("e.values").cast("long")).alias("n"))
-    return named, sums.withColumn("no", F.col("no").cast("long") + F.lit(part * 2**32))
 
 
 def f_value(p: str, q: str) -> str:
@@ -98,42 +143,38 @@ def f_value(p: str, q: str) -> str:
 
 
 def p_value(n: str, total: str, size: str = "v") -> str:
-    return f"1 + cast((cast({n} + 1 as decimal(20,0)) * {UNIT}) div ({total} + {size}) as bigint)"
+    """1 + floor(10**9 * (n + 1) / (total + size)) by two long divisions, whose products fit in 64 bits."""
+    a, m = f"(100000 * ({n} + 1))", f"({total} + {size})"
+    return f"1 + 10000 * ({a} div {m}) + (10000 * ({a} % {m})) div {m}"
 
 
 def both_terms(held: DataFrame) -> DataFrame:
-    """(lang, a, b, both): the sum over the terms that two sources hold, from one row per term with all its holders."""
-    by_term = held.groupBy("lang", "no").agg(F.collect_list(F.struct("place", "p", "z")).alias("held")).where("size(held) > 1")
+    """(a, b, both): the sum over the terms that two sources hold; a term's holders stand together."""
 
     def add_up(batches):
-        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        sums, rest = (_NONE, _NONE), [_NONE] * 4
         for batch in batches:
-            lists = [batch.column(c) for c in ("place", "p", "z")]
-            ends = lists[0].offsets.to_numpy()
-            values = [c.values.to_numpy() for c in lists]
-            codes = batch.column("lang").dictionary_encode()
-            for code, lang in enumerate(codes.dictionary.to_pylist()):
-                at = np.flatnonzero(codes.indices.to_numpy() == code)
-                found = pair_sums(*values, ends[at], ends[at + 1] - ends[at])
-                old = sums.get(lang, (_NONE, _NONE))
-                sums[lang] = _summed(*(np.concatenate(both) for both in zip(old, found)))
-            if sum(len(k) for k, _ in sums.values()) > PAIRS_AT_ONCE:
-                yield from _batches(sums)
-                sums = {}
-        yield from _batches(sums)
-
-    parts = by_term.select("lang", "held.place", "held.p", "held.z").mapInArrow(add_up, "lang string, a long, b long, both long")
-    return parts.groupBy("lang", "a", "b").agg(F.sum("both").alias("both"))
-
+            columns = [batch.column(c).to_numpy() for c in ("no", "place", "p", "z")]
+            columns = [np.concatenate(both) for both in zip(rest, columns)]
+            starts = np.flatnonzero(np.diff(columns[0], prepend=-1))
+            # The last term may go on in the next batch.
+            rest = [c[starts[-1] :] for c in columns] if len(starts) else columns
+            sums = added(sums, columns, starts)
+            if len(sums[0]) > PAIRS_AT_ONCE:
+                yield pairs_batch(sums)
+                sums = (_NONE, _NONE)
+        yield pairs_batch(added(sums, [*rest], np.zeros(1, dtype=np.int64), whole=True))
 
-_NONE = np.zeros(0, dtype=np.int64)
+    def added(sums, columns, starts, whole=False):
+        sizes = np.diff(starts, append=len(columns[0])) if whole else np.diff(starts)
+        found = pair_sums(*columns[1:], starts[: len(sizes)], sizes)
+        return _summed(*(np.concatenate(both) for both in zip(sums, found)))
 
+    def pairs_batch(sums):
+        return pa.RecordBatch.from_pydict({"a": sums[0] >> 32, "b": sums[0] & 0xFFFFFFFF, "both": sums[1]})
 
-def _batches(sums):
-    for lang, (keys, values) in sums.items():
-        yield pa.RecordBatch.from_pydict({
-            "lang": pa.array([lang] * len(keys), pa.string()), "a": keys >> 32, "b": keys & 0xFFFFFFFF, "both": values,
-        })
+    spread = held.select("no", "place", "p", "z").repartition("no").sortWithinPartitions("no", "place")
+    return spread.mapInArrow(add_up, "a long, b long, both long").groupBy("a", "b").agg(F.sum("both").alias("both"))
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +189,7 @@ def pair_sums(place: np.ndarray, p: np.ndarray, z: np.ndarray, starts: np.ndarra
     stand at ``starts``; terms with equally many holders are taken together."""
     f = lambda p, q: (p - q) * (p - q) // q
     keys, values = [_NONE], [_NONE]
-    for size in np.unique(sizes).tolist():
+    for size in np.unique(sizes[sizes > 1]).tolist():
         of_size, step = starts[sizes == size], max(1, 400_000 // (size * size))
         for i in range(0, len(of_size), step):
             at = of_size[i : i + step, None] + np.arange(size)
@@ -164,68 +205,70 @@ def pair_sums(place: np.ndarray, p: np.ndarray, z: np.ndarray, starts: np.ndarra
 
 def audit(docs: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank) for parts ``pair`` and ``term``."""
-    docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    parts = n_models(docs)
-    both = [group_counts(docs, parts, part) for part in range(parts)]
-    named, sums = both[0]
-    for n, s in both[1:]:
-        named, sums = named.unionByName(n), sums.unionByName(s)
-    vocabulary = write_and_reload(named, "divergence-terms")
-    counts = write_and_reload(sums.join(vocabulary, "no").select("lang", "source", "no", "term", "n"), "divergence-counts")
-
-    sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("v"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text")}
+    docs = docs.select(
+        text["lang"].alias("lang"), text["source"].alias("source"), text["text"].cast("binary").alias("data"),
+        F.concat(F.hex(text["lang"].cast("binary")), F.lit(":")).cast("binary").alias("tag"),
+    )
+    rows = write_and_reload(term_rows(docs), "divergence-rows")
+    parts = n_models(rows)
+    sums = names = None
+    for part in range(parts):
+        counts, named = group_counts(docs, vocabulary(rows, parts, part), part)
+        # Each part is written before the next one takes its memory.
+        counts, named = write_and_reload(counts, "divergence-counts"), write_and_reload(named, "divergence-terms")
+        sums, names = (sums.unionByName(counts), names.unionByName(named)) if part else (counts, named)
+
+    totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    sizes = names.groupBy(F.unhex("tag").cast("string").alias("lang")).agg(F.count("*").alias("v"))
     groups = docs.select("lang", "source").distinct().join(sizes, "lang", "left").join(totals, ["lang", "source"], "left")
     groups = groups.select(
         "lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"),
-        (F.dense_rank().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long").alias("place"),
+        # One row per source of a language.
+        (F.row_number().over(Window.orderBy("lang", "source")) - 1).cast("long").alias("place"),
     )
-    groups = groups.withColumn("z", F.expr(f"if(v > 0, {p_value('0', 'total')}, 1)"))
-    # One row per source of a language: read by every join below.
-    groups = write_and_reload(groups, "divergence-groups")
-    return pairs(counts, groups).unionByName(top_terms(counts, groups))
+    groups = write_and_reload(groups.withColumn("z", F.expr(f"if(v > 0, {p_value('0', 'total')}, 1)")), "divergence-groups")
+    held = sums.join(groups, ["lang", "source"]).select("no", "place", "n", F.expr(p_value("n", "total")).alias("p"), "z")
+    held = write_and_reload(held, "divergence-held")
+    return pairs(held, groups).unionByName(top_terms(held, names, groups))
 
 
-def pairs(counts: DataFrame, groups: DataFrame) -> DataFrame:
-    held = counts.join(groups, ["lang", "source"]).select(
-        "lang", "no", "place", F.expr(p_value("n", "total")).alias("p"), "z"
-    )
-    both = both_terms(held)
-    histogram = counts.groupBy("lang", "source", "n").agg(F.count("*").alias("terms"))
+def pairs(held: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every ordered pair of sources of a language; ``held`` has one row per source and term that it holds."""
+    mine = groups.select("lang", "source", F.col("place").alias("a"), "z", "v")
     other = groups.select("lang", F.col("source").alias("item"), F.col("place").alias("b"), F.col("z").alias("zb"))
-    one_sided = (
-        histogram.join(groups, ["lang", "source"]).withColumn("p", F.expr(p_value("n", "total")))
-        .groupBy("lang", "source", "p", "z").agg(F.sum("terms").alias("terms"))
-        .join(other, "lang").where("source <> item")
-        .groupBy("lang", "source", "item").agg(
-            F.sum(F.expr(f"terms * ({f_value('p', 'zb')} - {f_value('z', 'zb')})")).alias("own"),
-            F.sum(F.expr(f"terms * ({f_value('zb', 'p')} - {f_value('zb', 'z')})")).alias("others"),
-        )
+    # Terms with equal p count together.
+    alike = held.groupBy(F.col("place").alias("a"), "p").agg(F.count("*").alias("terms"))
+    one_sided = alike.join(mine, "a").join(other, "lang").where("a <> b").groupBy("a", "b").agg(
+        F.sum(F.expr(f"terms * ({f_value('p', 'zb')} - {f_value('z', 'zb')})")).alias("own"),
+        F.sum(F.expr(f"terms * ({f_value('zb', 'p')} - {f_value('zb', 'z')})")).alias("others"),
     )
-    own = one_sided.select("lang", "source", "item", "own")
-    others = one_sided.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "others")
-    mine = groups.select("lang", "source", F.col("place").alias("a"), "z", "v")
-    value = mine.join(other, "lang").where("source <> item").join(both, ["lang", "a", "b"], "left")
-    value = value.join(own, ["lang", "source", "item"], "left").join(others, ["lang", "source", "item"], "left")
-    none = F.lit(0).cast("long")
+    one_sided = write_and_reload(one_sided, "divergence-sides")
+    own = one_sided.select("a", "b", "own")
+    others = one_sided.select(F.col("b").alias("a"), F.col("a").alias("b"), "others")
+    value = mine.join(other, "lang").where("a <> b")
+    for part in (both_terms(held), own, others):
+        value = value.join(part, ["a", "b"], "left")
+    sums = [F.coalesce(c, F.lit(0).cast("long")) for c in ("both", "own", "others")]
     value = value.select(
         "lang", "source", F.lit("pair").alias("part"), "item",
-        (F.expr(f"v * ({f_value('z', 'zb')})") + F.coalesce("both", none) + F.coalesce("own", none)
-         + F.coalesce("others", none)).alias("value"),
+        (F.expr(f"v * ({f_value('z', 'zb')})") + sums[0] + sums[1] + sums[2]).alias("value"),
     )
     return _ranked(value)
 
 
-def top_terms(counts: DataFrame, groups: DataFrame, most: int = TOP_TERMS) -> DataFrame:
-    of_lang = counts.groupBy("lang", "no").agg(F.sum("n").alias("lang_n"))
-    lang_total = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
-    rows = counts.join(of_lang, ["lang", "no"]).join(groups, ["lang", "source"]).join(lang_total, "lang").select(
-        "lang", "source", F.col("term").alias("item"), F.expr(p_value("n", "total")).alias("p"),
-        F.expr(p_value("lang_n", "lang_total")).alias("q"),
-    )
-    rows = rows.where("p > q").select(
-        "lang", "source", F.lit("term").alias("part"), "item", F.expr(f_value("p", "q")).alias("value")
-    )
+def top_terms(held: DataFrame, names: DataFrame, groups: DataFrame, most: int = TOP_TERMS) -> DataFrame:
+    """The terms of each source whose p is above that of its language, best first."""
+    of_lang = F.sum("n").over(Window.partitionBy("no"))
+    all_of = F.sum("total").over(Window.partitionBy("lang"))
+    sized = groups.select("lang", "source", "place", "v", all_of.alias("lang_total"))
+    rows = held.select("no", "place", "p", of_lang.alias("lang_n")).join(sized, "place")
+    rows = rows.withColumn("q", F.expr(p_value("lang_n", "lang_total"))).where("p > q")
+    rows = rows.select("lang", "source", "place", "no", F.expr(f_value("p", "q")).alias("value"))
+    # Those whose value is among the best, ties included; only they need their names.
+    best = F.rank().over(Window.partitionBy("place").orderBy(F.desc("value")))
+    rows = rows.withColumn("_best", best).where(F.col("_best") <= most).join(names, "no")
+    rows = rows.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value")
     return _ranked(rows).where(F.col("rank") <= most)
 
 
