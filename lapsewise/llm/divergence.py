@@ -78,8 +78,8 @@ def n_models(rows: DataFrame) -> int:
     return max(1, -(-kept * SLICE // MODEL_TERMS))
 
 
-def vocabulary(rows: DataFrame, parts: int, part: int) -> list[str]:
-    """The kept terms of one part."""
+def vocabulary(rows: DataFrame, parts: int, part: int) -> bytes:
+    """The kept terms of one part, one per line."""
     if parts > 1:
         mine = lambda t: F.pmod(F.xxhash64(F.lit(1), t), F.lit(parts)) == part
         rows = rows.select(F.filter("terms", mine).alias("terms"))
@@ -88,20 +88,32 @@ def vocabulary(rows: DataFrame, parts: int, part: int) -> list[str]:
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(MIN_DOCS), vocabSize=2**31 - 1).fit(
         rows.unionByName(extra)
     )
-    return sorted(filter(None, model.vocabulary))
+    return "\n".join(filter(None, model.vocabulary)).encode()
 
 
-def group_counts(docs: DataFrame, words: list[str], part: int) -> tuple[DataFrame, DataFrame]:
+_numbers: dict[int, dict[bytes, dict[bytes, int]]] = {}
+
+
+def term_numbers(words: bytes) -> dict[bytes, dict[bytes, int]]:
+    """Number of each term by tag; a worker keeps those of the last vocabulary."""
+    key = hash(words)
+    if key not in _numbers:
+        _numbers.clear()
+        number = _numbers[key] = {}
+        for i, word in enumerate(words.split(b"\n") if words else []):
+            tag, _, term = word.partition(b":")
+            number.setdefault(tag + b":", {})[term] = i
+    return _numbers[key]
+
+
+def group_counts(docs: DataFrame, words: bytes, part: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, no, n): counts of one part's terms per group, and (no, tag, term) of its terms."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast([w.encode() for w in words])
+    shared = spark.sparkContext.broadcast(words)
     base = part << 32
 
     def add_up(batches):
-        number: dict[bytes, dict[bytes, int]] = {}
-        for i, word in enumerate(shared.value):
-            tag, _, term = word.partition(b":")
-            number.setdefault(tag + b":", {})[term] = i
+        number = term_numbers(shared.value)
         # Per group a sparse vector: number of a term to its count.
         vectors: dict[tuple[str, str], Counter] = {}
         for batch in batches:
@@ -127,8 +139,9 @@ def group_counts(docs: DataFrame, words: list[str], part: int) -> tuple[DataFram
 
     def name(batches):
         for _ in batches:
-            for i in range(0, len(shared.value), 100_000):
-                words = [w.partition(b":") for w in shared.value[i : i + 100_000]]
+            lines = shared.value.split(b"\n") if shared.value else []
+            for i in range(0, len(lines), 100_000):
+                words = [w.partition(b":") for w in lines[i : i + 100_000]]
                 tags, found = (pa.array([w[k] for w in words], pa.binary()).cast(pa.string()) for k in (0, 2))
                 yield pa.RecordBatch.from_pydict({"no": np.arange(i, i + len(words)) + base, "tag": tags, "term": found})
 
