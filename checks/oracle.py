@@ -432,6 +432,14 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN CAST('0x' || substr(md5('42:' || "userId"), 1, 8) AS BIGINT) % 1000 < 700
             THEN 'train' ELSE 'test' END AS part FROM label""",
         "confusion_metrics": _confusion(),
+        "area_under_curve": f"""SELECT level, n_positive, n_negative,
+            {r("(ranks - n_positive * (n_positive + 1) / 2.0) / nullif(CAST(n_positive AS DOUBLE) * n_negative, 0)", 9)} AS auc
+            FROM (SELECT level, count(*) FILTER (churn = 1) AS n_positive, count(*) FILTER (churn <> 1) AS n_negative,
+            sum(CASE WHEN churn = 1 THEN place ELSE 0 END) AS ranks FROM (SELECT level, churn,
+            CAST(rank() OVER (PARTITION BY level ORDER BY avg_songs_per_session) AS DOUBLE) + (count(*) OVER
+            (PARTITION BY level, avg_songs_per_session) - 1) / 2.0 AS place FROM exact) GROUP BY level)""",
+        "sample_agents": """SELECT "userAgent" FROM log ORDER BY md5('42|' || "userId" || '|' || "sessionId" || '|' ||
+            ts || '|' || page), "userAgent" LIMIT 5""",
         "churn_rate_table": f"""SELECT feature, category, churn_rate, 'all' AS dataset
             FROM ({_rate('table_cats')})""",
         "numeric_summary_table": _numeric_table("_all", "all"),

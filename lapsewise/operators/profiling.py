@@ -90,9 +90,14 @@ def activity_totals(df: DataFrame) -> DataFrame:
     ).withColumn("logs_per_user", F.try_divide(F.col("n_logs").cast("double"), F.col("n_users")))
 
 
-def sample_column(df: DataFrame, column: str, fraction: float, n: int, seed: int) -> DataFrame:
-    """A few random values of one column."""
-    return df.select(column).sample(fraction=fraction, seed=seed).limit(n)
+def sample_column(df: DataFrame, column: str, n: int, seed: int, keys: list[str]) -> DataFrame:
+    """Values of one column in ``n`` random rows: those with the smallest hash of seed and ``keys``.
+
+    The choice depends on the rows alone, not on partitions or retries, and each task hands on at most ``n``.
+    """
+    told = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    drawn = F.md5(F.concat_ws("|", F.lit(str(seed)), *told).cast("binary"))
+    return df.select(column, drawn.alias("_drawn")).orderBy("_drawn", column).limit(n).select(column)
 
 
 def preview(df: DataFrame, order_by: list[str], n: int) -> DataFrame:

@@ -5,45 +5,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def category_values(log: DataFrame, category: Column) -> list[str]:
-    """Distinct values of a category that becomes columns; refuses more than a table can have."""
-    limit = int(log.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = log.select(category.alias("v")).where("v is not null").distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} categories: not usable as columns")
-    return sorted(row.v for row in found)
-
-
-def usage_counts(category: Column, values: list[str], name: Callable[[str], str] = str) -> list[Column]:
-    """One count per value, to be used next to other aggregates of the same groupBy."""
-    return [F.count_if(category == v).alias(name(v)) for v in values]
+from lapsewise.operators.categories import Category, find, listed
 
 
 def usage_table(
     log: DataFrame,
     category: Column,
-    values: list[str] | None = None,
+    values: list[str] | Category | None = None,
     kind: str = "ratio",
     name: Callable[[str], str] = str,
 ) -> DataFrame:
     """Per user, the share (``ratio``) or number (``count``) of events in each category value.
 
     Conditional counts in one aggregation: one shuffle of per-user counters, where counting, a
-    window for the total and a pivot would take three. Without ``values`` they are looked up first.
-    Shares are of all events with a category, also of values not listed.
+    window for the total and a pivot would take three. Without ``values`` they are looked up first, the
+    commonest getting columns and the others one for the rest. Shares are of all events with a category.
     """
-    values = category_values(log, category) if values is None else values
+    if values is None:
+        values = find(log, {"value": (category, [], name)})["value"]
+    columns = values if isinstance(values, Category) else listed(values, name)
     tagged = log.select("userId", category.alias("_category"))
-    tagged_category = F.col("_category")
-    counts = tagged.groupBy("userId").agg(
-        F.count("_category").alias("_total"), *usage_counts(tagged_category, values, name)
-    )
-    columns = [name(v) for v in values]
+    counts = tagged.groupBy("userId").agg(F.count("_category").alias("_total"), *columns.counts(F.col("_category")))
     if kind == "count":
-        return counts.select("userId", *columns)
+        return counts.select("userId", *columns.names)
     if kind == "ratio":
-        return counts.select("userId", *[share(c, "_total").alias(c) for c in columns])
+        return counts.select("userId", *[share(c, "_total").alias(c) for c in columns.names])
     raise ValueError(f"unknown usage kind: {kind}")
 
 

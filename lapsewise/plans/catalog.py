@@ -7,10 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapsewise.operators import cleaning, labels, numeric, profiling, segments, selection, sessions, weighting
-from lapsewise.operators.usage import usage_table
+from lapsewise.operators import cleaning, labels, numeric, profiling, ranking, segments, selection, sessions, weighting
 from lapsewise.plans import features, modelling, reports
-from lapsewise.schema import EVENT_SCHEMA, FEATURES, PAGES, page_slug
+from lapsewise.schema import EVENT_SCHEMA
 from lapsewise.sources import (
     activity_log,
     read_csv_table,
@@ -168,16 +167,17 @@ def metric_histogram(log: DataFrame) -> DataFrame:
     return numeric.histogram(numeric.metrics_long(numeric.user_metrics(log), numeric.METRICS), BINS)
 
 
-def page_pivot(log: DataFrame) -> DataFrame:
-    return usage_table(log, F.col("page"), PAGES, kind="count", name=page_slug)
-
-
 def rule_based_metrics(table: DataFrame) -> DataFrame:
     """Metrics of a stated rule, per level: users with few songs per session are said to leave."""
     rule = F.when(F.col("avg_songs_per_session") < 0.5, 1.0).otherwise(0.0)
     return weighting.confusion_metrics(table.withColumn("prediction", rule), ["level"])
 
 
+def ranked_area(table: DataFrame) -> DataFrame:
+    """Area under the curve of a stated score, per level: the more songs per session, the likelier to leave."""
+    return ranking.area_under_curve(table, "avg_songs_per_session", by=["level"])
+
+
 def split_sizes(table: DataFrame) -> DataFrame:
     part = F.when(weighting.in_training_set(), "train").otherwise("test")
     return table.select("userId", "churn", part.alias("part"))
@@ -200,7 +200,7 @@ def written_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def candidates(table: DataFrame) -> list[str]:
-    return selection.features_to_keep(table, FEATURES)
+    return selection.features_to_keep(table, features.table_features(table))
 
 
 #: Feature counts of the tuning sweep.
@@ -238,30 +238,24 @@ def model_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def evaluation(spark: SparkSession, sf: str) -> DataFrame:
     done = one_round(spark, sf, modelling.Training(kinds=["RandomForestClassifier"], cross_validate=False))
-    return modelling.evaluation(done.models[0], done.train_df, done.test_df)
+    return modelling.evaluation_with_auc(done.models[0], done.train_df, done.test_df)
 
 
 def experiment_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    """Default grids of all classifiers over every fourth feature count."""
-
-    def build() -> DataFrame:
-        table = written_features(spark, sf)
-        names = candidates(table)
-        return modelling.sweep(table, names, modelling.swept_feature_counts(names), modelling.Training())
-
-    return once(spark, sf, "sweep", build)
+    """Default grids of all classifiers over every fourth feature count. A stopped run goes on where it ended."""
+    table = written_features(spark, sf)
+    names = candidates(table)
+    return modelling.sweep(table, names, modelling.swept_feature_counts(names), modelling.Training())
 
 
 def tuning_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Searched grids over the tuned feature counts that the table has, best F1 first."""
 
-    def build() -> DataFrame:
-        table = written_features(spark, sf)
-        names = candidates(table)
-        counts = [k for k in TUNED_COUNTS if k <= len(names)]
-        return modelling.sweep(table, names, counts, modelling.Training(kinds=modelling.TUNED, tune=True))
-
-    return once(spark, sf, "tuning", build).orderBy(F.desc("f1_score"), "num_best_features")
+    table = written_features(spark, sf)
+    names = candidates(table)
+    counts = [k for k in TUNED_COUNTS if k <= len(names)]
+    swept = modelling.sweep(table, names, counts, modelling.Training(kinds=modelling.TUNED, tune=True))
+    return swept.orderBy(F.desc("f1_score"), "num_best_features")
 
 
 def metric_curves(spark: SparkSession, sf: str) -> DataFrame:
@@ -319,7 +313,7 @@ def queries() -> dict[str, Query]:
             )
         ),
         "activity_totals": on_events(profiling.activity_totals),
-        "sample_agents": on_events(lambda log: profiling.sample_column(log, "userAgent", 0.01, 5, seed=42)),
+        "sample_agents": on_events(lambda log: profiling.sample_column(log, "userAgent", 5, 42, ["userId", "sessionId", "ts", "page"])),
         "preview": on_events(lambda log: profiling.preview(log, ["ts", "userId", "page", "level"], 20)),
         # cleaning and scalar columns
         "clean_identified": on_raw(cleaning.clean),
@@ -365,7 +359,7 @@ def queries() -> dict[str, Query]:
             lambda log: segments.churn_log_counts(log, ["status", "state", "weekday", "day", "hour"]), True
         ),
         "page_mix": on_events(segments.page_mix),
-        "page_pivot": on_events(page_pivot),
+        "page_pivot": on_events(features.page_pivot),
         "page_box_stats": on_events(numeric.page_box_stats),
         # sessions and per-user numbers
         "interactions_per_user": on_events(sessions.interactions_per_user),
@@ -399,18 +393,19 @@ def queries() -> dict[str, Query]:
         "feature_table": on_events(features.feature_table, SUM_OF_LENGTHS),
         "feature_table_inner": on_events(lambda log: features.feature_table(log, join="inner"), SUM_OF_LENGTHS),
         # selection
-        "feature_correlation": on_features(lambda t: selection.feature_correlation(t, FEATURES), {"r": 6}),
+        "feature_correlation": on_features(lambda t: selection.feature_correlation(t, features.table_features(t)), {"r": 6}),
         "correlated_features_dropped": on_features(
-            lambda t: selection.names_table(t.sparkSession, selection.correlated_features(t, FEATURES), "feature")
+            lambda t: selection.names_table(t.sparkSession, selection.correlated_features(t, features.table_features(t)), "feature")
         ),
-        "chi2_scores": on_features(lambda t: selection.chi2_scores(t, FEATURES), {"score": 6}),
-        "select_k_best": on_features(lambda t: selection.select_k_best(t, FEATURES, 16), {"score": 6}),
+        "chi2_scores": on_features(lambda t: selection.chi2_scores(t, features.table_features(t)), {"score": 6}),
+        "select_k_best": on_features(lambda t: selection.select_k_best(t, features.table_features(t), 16), {"score": 6}),
         "class_weights": on_features(weighting.class_weights),
         "class_weighted": on_features(
             lambda t: weighting.with_class_weight(t).select("userId", "churn", "weight")
         ),
-        "minmax_scaled": on_features(lambda t: selection.min_max_scaled(t, FEATURES), SUM_OF_LENGTHS),
+        "minmax_scaled": on_features(lambda t: selection.min_max_scaled(t, features.table_features(t)), SUM_OF_LENGTHS),
         "train_test_split": on_features(split_sizes),
+        "area_under_curve": on_features(ranked_area, {"auc": 9}),
         "confusion_metrics": on_features(rule_based_metrics, CONFUSION_DIGITS),
         # report tables
         "churn_rate_table": rate_table,

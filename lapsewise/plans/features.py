@@ -10,23 +10,59 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise import functions as L
+from lapsewise.operators import categories as C
+from lapsewise.operators.categories import Category
 from lapsewise.operators.cleaning import clean
 from lapsewise.operators.labels import page_flag
 from lapsewise.operators.numeric import distinct_media
 from lapsewise.operators.sessions import average_minutes, pause_between_sessions, total_hours
-from lapsewise.operators.usage import share, usage_counts, usage_table
+from lapsewise.operators.usage import share, usage_table
 from lapsewise.schema import (
     BROWSERS,
     CHURN_PAGE,
     DEVICES,
     FEATURES,
+    PAGE_RATE_FEATURES,
+    PAGES,
     RATED_PAGES,
     UNRATED_PAGES,
     page_slug,
 )
 from lapsewise.sources.tables import read_feature_table, write_json_table, write_parquet_table
 
-_RATED = [page_slug(p) for p in RATED_PAGES]
+Categories = dict[str, Category]
+#: Columns of the listed values alone, whatever the log holds.
+LISTED: Categories = {
+    "device": C.listed(DEVICES), "browser": C.listed(BROWSERS), "page": C.listed(RATED_PAGES, page_slug),
+}
+
+
+def find_categories(log: DataFrame, most: int | None = None) -> Categories:
+    """Devices, browsers and rated pages that become columns: the listed ones and those that the log holds beside them."""
+    page = F.when(~F.col("page").isin(UNRATED_PAGES), F.col("page"))
+    sources = {
+        "device": (L.device(F.col("userAgent")), DEVICES, str),
+        "browser": (L.browser(F.col("userAgent")), BROWSERS, str),
+        "page": (page, RATED_PAGES, page_slug),
+    }
+    return C.find(log, sources, taken=["userId", "churn", *_NOT_CATEGORIES], most=most)
+
+
+_NOT_CATEGORIES = [c for c in FEATURES if c not in {*DEVICES, *BROWSERS, *PAGE_RATE_FEATURES}]
+
+
+def feature_names(categories: Categories) -> list[str]:
+    """Features in the order of the table: found values after the listed ones of their kind."""
+    device, browser, page = (categories[c].names for c in ("device", "browser", "page"))
+    head = [c for c in _NOT_CATEGORIES if c in ("gender", "level")]
+    tail = [c for c in _NOT_CATEGORIES if c == "session_interval"]
+    middle = [c for c in _NOT_CATEGORIES if c not in (*head, *tail)]
+    return [*head, *device, *browser, *middle, *[f"{c}_hourly" for c in page], *tail]
+
+
+def table_features(table: DataFrame) -> list[str]:
+    """Features of a written feature table."""
+    return [c for c in table.columns if c not in ("userId", "churn")]
 
 
 def _code(column: str, first: str, second: str) -> Column:
@@ -61,21 +97,33 @@ def user_info(log: DataFrame) -> DataFrame:
     )
 
 
-def device_usage(log: DataFrame, values: list[str] | None = DEVICES) -> DataFrame:
-    return usage_table(log, L.device(F.col("userAgent")), values)
+def _usage(log: DataFrame, values: list[str] | None, category: str, column: Column, known: list[str], **options) -> DataFrame:
+    name = options.get("name", str)
+    found = C.find(log, {category: (column, known, name)})[category] if values is None else values
+    return usage_table(log, column, found, **options)
 
 
-def browser_usage(log: DataFrame, values: list[str] | None = BROWSERS) -> DataFrame:
-    return usage_table(log, L.browser(F.col("userAgent")), values)
+def device_usage(log: DataFrame, values: list[str] | None = None) -> DataFrame:
+    """Share of each device; without ``values`` the listed ones and those that the log holds beside them."""
+    return _usage(log, values, "device", L.device(F.col("userAgent")), DEVICES)
 
 
-def page_counts(log: DataFrame, values: list[str] | None = RATED_PAGES) -> DataFrame:
+def browser_usage(log: DataFrame, values: list[str] | None = None) -> DataFrame:
+    return _usage(log, values, "browser", L.browser(F.col("userAgent")), BROWSERS)
+
+
+def page_counts(log: DataFrame, values: list[str] | None = None) -> DataFrame:
     """Views per rated page, for users with any page outside the unrated ones."""
     rated = log.where(~F.col("page").isin(UNRATED_PAGES))
-    return usage_table(rated, F.col("page"), values, kind="count", name=page_slug)
+    return _usage(rated, values, "page", F.col("page"), RATED_PAGES, kind="count", name=page_slug)
+
+
+def page_pivot(log: DataFrame, values: list[str] | None = None) -> DataFrame:
+    """Views per page, all pages; without ``values`` the listed ones and those that the log holds beside them."""
+    return _usage(log, values, "page", F.col("page"), PAGES, kind="count", name=page_slug)
 
 
-def _session_sums(log: DataFrame) -> DataFrame:
+def _session_sums(log: DataFrame, categories: Categories) -> DataFrame:
     agents = log.select(
         "userId", "sessionId", "ts", "registration", "page", "level", "gender", "song", "length",
         L.device(F.col("userAgent")).alias("device"),
@@ -90,14 +138,18 @@ def _session_sums(log: DataFrame) -> DataFrame:
         F.count("*").alias("n_logs"),
         F.count("song").alias("n_songs"),
         F.sum("length").alias("sum_length"),
-        *usage_counts(F.col("device"), DEVICES),
-        *usage_counts(F.col("browser"), BROWSERS),
-        *usage_counts(F.col("page"), RATED_PAGES, page_slug),
+        *categories["device"].counts(F.col("device")),
+        *categories["browser"].counts(F.col("browser")),
+        *categories["page"].counts(_rated_page()),
         F.count_if(~F.col("page").isin(UNRATED_PAGES)).alias("n_rated"),
     )
 
 
-def _user_sums(sessions: DataFrame) -> DataFrame:
+def _rated_page() -> Column:
+    return F.when(~F.col("page").isin(UNRATED_PAGES), F.col("page"))
+
+
+def _user_sums(sessions: DataFrame, categories: Categories) -> DataFrame:
     return sessions.groupBy("userId").agg(
         F.max("churn").alias("churn"),
         F.max("profile").alias("profile"),
@@ -110,7 +162,8 @@ def _user_sums(sessions: DataFrame) -> DataFrame:
         average_minutes().alias("avg_session_length"),
         total_hours().alias("total_hours"),
         pause_between_sessions(L.MS_PER_MINUTE).alias("session_interval"),
-        *[F.sum(c).alias(c) for c in [*DEVICES, *BROWSERS, *_RATED, "n_rated"]],
+        *[F.sum(c).alias(c) for category in categories.values() for c in category.names],
+        F.sum("n_rated").alias("n_rated"),
     )
 
 
@@ -141,28 +194,31 @@ def overall_stats(log: DataFrame) -> DataFrame:
     )
 
 
-def page_rates_hourly(log: DataFrame) -> DataFrame:
+def page_rates_hourly(log: DataFrame, categories: Categories | None = None) -> DataFrame:
     """Views per hour of each rated page, for users with any page outside the unrated ones."""
+    pages = (categories or find_categories(log))["page"]
     sessions = log.groupBy("userId", "sessionId").agg(
         F.min("ts").alias("start_ts"),
         F.max("ts").alias("end_ts"),
-        *usage_counts(F.col("page"), RATED_PAGES, page_slug),
+        *pages.counts(_rated_page()),
         F.count_if(~F.col("page").isin(UNRATED_PAGES)).alias("n_rated"),
     )
     users = sessions.groupBy("userId").agg(
         total_hours().alias("total_hours"),
-        *[F.sum(c).alias(c) for c in [*_RATED, "n_rated"]],
+        *[F.sum(c).alias(c) for c in [*pages.names, "n_rated"]],
     )
-    return users.where("n_rated > 0").select("userId", *[_hourly(c) for c in _RATED])
+    return users.where("n_rated > 0").select("userId", *[_hourly(c) for c in pages.names])
 
 
-def feature_table(log: DataFrame, join: str = "left") -> DataFrame:
-    """userId, churn and FEATURES, nulls filled with 0.
+def feature_table(log: DataFrame, join: str = "left", categories: Categories | None = None) -> DataFrame:
+    """userId, churn and the features, nulls filled with 0.
 
-    ``left`` keeps every user of the log, which is what a full outer join of the single feature
-    tables gives. ``inner`` drops users who only ever saw unrated pages.
+    The devices, browsers and pages that become columns are ``categories``; without it they are found in a pass over
+    two columns of the log. ``left`` keeps every user of the log, which is what a full outer join of the single
+    feature tables gives. ``inner`` drops users who only ever saw unrated pages.
     """
-    users = _user_sums(_session_sums(log))
+    categories = categories or find_categories(log)
+    users = _user_sums(_session_sums(log, categories), categories)
     if join == "inner":
         users = users.where("n_rated > 0")
     elif join != "left":
@@ -172,22 +228,30 @@ def feature_table(log: DataFrame, join: str = "left") -> DataFrame:
         "level": profile_level("profile"),
         "count_distinct_artists": F.col("count_distinct_artists"),
         "count_distinct_songs": F.col("count_distinct_songs"),
-        **{c: share(c, "count_logs") for c in [*DEVICES, *BROWSERS]},
-        **{slug + "_hourly": _hourly(slug) for slug in _RATED},
+        **{c: share(c, "count_logs") for c in [*categories["device"].names, *categories["browser"].names]},
+        **{c + "_hourly": _hourly(c) for c in categories["page"].names},
     }
-    columns = [computed.get(c, F.col(c)).alias(c) for c in FEATURES]
+    columns = [computed.get(c, F.col(c)).alias(c) for c in feature_names(categories)]
     return users.join(distinct_media(log), "userId", "left").select("userId", "churn", *columns).fillna(0)
 
 
 def create_features(log: DataFrame, path: str, policy: str = "identified", fmt: str = "parquet") -> None:
-    """Clean a raw log, build the feature table and write it."""
-    table = feature_table(clean(log, policy))
+    """Clean a raw log, build the feature table and write it, its categories beside it in ``path``-categories."""
+    cleaned = clean(log, policy)
+    categories = find_categories(cleaned)
+    table = feature_table(cleaned, categories=categories)
     if fmt == "parquet":
         write_parquet_table(table, path)
     elif fmt == "json":
         write_json_table(table, path)
     else:
         raise ValueError(f"unknown format: {fmt}")
+    write_parquet_table(C.to_table(log.sparkSession, categories), f"{path}-categories")
+
+
+def load_categories(spark: SparkSession, path: str) -> Categories:
+    """Categories of a written feature table, to give later logs the same columns."""
+    return C.from_table(spark.read.parquet(f"{path}-categories"))
 
 
 def load_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -6,6 +6,7 @@ from lapsewise.sources.tables import (
     read_feature_table,
     read_json_log,
     read_parquet_log,
+    unreadable_lines,
     write_csv_table,
     write_json_table,
     write_parquet_table,
@@ -17,6 +18,7 @@ __all__ = [
     "read_feature_table",
     "read_json_log",
     "read_parquet_log",
+    "unreadable_lines",
     "write_csv_table",
     "write_json_table",
     "write_parquet_table",

@@ -1,14 +1,41 @@
 """File scans and sinks. Paths may point to any store Spark can reach (``s3a://``, ``hdfs://``, ...)."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lapsewise.schema import EVENT_SCHEMA
 
 
-def read_json_log(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA) -> DataFrame:
-    """JSON-lines log with a declared schema, so no inference pass over the input."""
-    return spark.read.schema(schema).json(path)
+_UNREADABLE = "_unreadable"
+
+
+def _json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All lines; one that is no record of the schema has its text in ``_unreadable``."""
+    with_text = StructType([*schema.fields, StructField(_UNREADABLE, StringType())])
+    record = F.from_json("value", with_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE})
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.input_file_name().alias("_file"), record.alias("_record")).select("_file", "_record.*")
+
+
+def read_json_log(
+    spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA, unreadable: str = "drop"
+) -> DataFrame:
+    """JSON-lines log with a declared schema, so no inference pass over the input.
+
+    Lines that are no record of the schema are left out (``drop``, see ``unreadable_lines``) or end the read (``fail``).
+    """
+    if unreadable == "fail":
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    if unreadable != "drop":
+        raise ValueError(f"unknown treatment of unreadable lines: {unreadable}")
+    return _json_lines(spark, path, schema).where(F.col(_UNREADABLE).isNull()).select(*schema.names)
+
+
+def unreadable_lines(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA) -> DataFrame:
+    """(file, line) of every line of a JSON log that ``read_json_log`` leaves out."""
+    lines = _json_lines(spark, path, schema).where(F.col(_UNREADABLE).isNotNull())
+    return lines.select(F.col("_file").alias("file"), F.col(_UNREADABLE).alias("line"))
 
 
 def read_parquet_log(spark: SparkSession, path: str) -> DataFrame:

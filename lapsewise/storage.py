@@ -17,7 +17,8 @@ def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -29,6 +30,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/lapsewise/{name}-{uuid.uuid4().hex}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` from Spark's checkpoint in the shared folder: for small tables that very many short jobs read."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_root(df.sparkSession)}/lapsewise/checkpoints")
+    return df.checkpoint()
+
+
 def write_and_reload(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of ``df`` through a Parquet table in the shared folder."""
     path = new_path(df.sparkSession, name)

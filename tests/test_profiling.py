@@ -49,4 +49,7 @@ def test_schema_and_ranges(make_log):
 def test_sample_and_preview(make_log):
     log = make_log(*[{"ts": i} for i in range(30)])
     assert [r.ts for r in profiling.preview(log, ["ts"], 3).collect()] == [0, 1, 2]
-    assert profiling.sample_column(log, "userAgent", 0.9, 5, seed=1).count() == 5
+    drawn = profiling.sample_column(log, "userAgent", 5, 1, ["userId", "sessionId", "ts", "page"])
+    assert drawn.count() == 5
+    again = profiling.sample_column(log.repartition(7), "userAgent", 5, 1, ["userId", "sessionId", "ts", "page"])
+    assert drawn.collect() == again.collect()

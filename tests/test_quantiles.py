@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.operators import numeric, quantiles
 from lapsewise.operators.quantiles import exact_quantiles
+from lapsewise.operators.ranking import area_under_curve, counts_below
 
 PROBS = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p0": 0.0, "p99": 0.99, "p100": 1.0}
 
@@ -39,6 +40,41 @@ def test_groups_beyond_the_sketch_size(spark, monkeypatch, accuracy):
     check(spark.createDataFrame(frame).repartition(7), groups)
 
 
+@pytest.mark.parametrize("low, high", [(5.0, 6.0), (-9.0, -8.0), (50.0, 60.0)])
+def test_a_wrong_bracket_still_gives_the_exact_value(spark, monkeypatch, low, high):
+    values = {g: [float(v % 37) for v in range(g, 500)] for g in (0, 1)}
+    frame = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g int, v double")
+    right = quantiles.brackets
+
+    def wrong(data, by, probs):
+        return right(data, by, probs).withColumns({"low": F.lit(low), "high": F.lit(high)})
+
+    monkeypatch.setattr(quantiles, "brackets", wrong)
+    check(frame, values)
+
+
+def test_counts_below_equal_a_running_sum(spark):
+    data = [(g, float(v), v % 3 + 1, 1) for g in ("a", "b") for v in range(300)]
+    frame = spark.createDataFrame(data, "g string, v double, x long, y long").repartition(9)
+    found = {(r.g, r.v): (r.below_x, r.below_y) for r in counts_below(frame, ["g"], "v", ["x", "y"]).collect()}
+    for g in ("a", "b"):
+        assert all(found[g, float(v)] == (sum(i % 3 + 1 for i in range(v)), v) for v in range(300))
+
+
+def test_area_under_curve_equals_mllib_and_counts_ties_half(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = np.random.default_rng(3)
+    data = [(int(y), float(np.round(rng.normal() + y, 1)), "g") for y in rng.integers(0, 2, 900)]
+    frame = spark.createDataFrame(data, "churn int, score double, part string").repartition(4)
+    evaluator = BinaryClassificationEvaluator(labelCol="churn", rawPredictionCol="score", numBins=0)
+    found = area_under_curve(frame, "score").first()
+    assert found.auc == pytest.approx(evaluator.evaluate(frame)) and found.n_positive + found.n_negative == 900
+    few = [(1, 1.0, "a"), (0, 1.0, "a"), (1, 2.0, "b"), (0, 1.0, "b"), (1, 1.0, "c"), (None, 1.0, "c"), (0, None, "c")]
+    by_part = area_under_curve(spark.createDataFrame(few, "churn int, score double, part string"), "score", by=["part"])
+    assert rows(by_part, "part", "auc") == [("a", 0.5), ("b", 1.0), ("c", None)]
+
+
 def test_summarize_matches_numpy(spark):
     values = np.random.default_rng(1).integers(0, 40, size=501).astype(float)
     df = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(values)], "churn int, v double")
