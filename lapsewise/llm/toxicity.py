@@ -1,49 +1,77 @@
-"""Toxicity by a subsequence string-kernel SVM with Nystrom landmarks over the words of a text.
+"""Toxicity by a subsequence string-kernel SVM with Nystrom landmarks, trained on labelled sentences.
 
 The kernel of two words sums, over common subsequences of three letters within ``SPAN``, a decay for
-each letter passed over, so gaps and inserted characters cost little. Words that stand in many
-toxic and hardly any other training texts are the positive strings, words of the other texts the
-negative ones. The SVM works on the kernel values to landmark words; its weights then fold into one
-weight per hashed subsequence, so each word costs one pass. A text's score is that of its most
-toxic word. Null, empty and wordless texts score that of no word, below 0.5. Equal texts score alike.
+each letter passed over, so gaps and inserted characters cost little; it is scaled to length one and raised
+to ``POWER``, which keeps apart words that merely share a stem. The kernel of two sentences adds
+up the kernels of their words. Landmark words taken from sentences of both labels turn a sentence
+into a vector (Nystrom), and a linear SVM separates the sentences of toxic texts from those of clean
+ones. A toxic text also has harmless sentences: after the first fit those that look clean no longer
+count as toxic, but each text keeps its worst one. Equal sentences count once, so copies weigh nothing extra, and a
+sentence that also stands in a clean text is clean.
+
+The SVM then folds into one weight per word, a sentence scores the sum over its distinct words, a text that of its most toxic
+sentence. The limit is set on texts that no weight has seen. Null, empty and wordless texts score
+below 0.5. Equal texts score alike. Texts of any length are read whole. A training table without one of the two labels
+gives no model and scores of 0; an empty table gives an empty table. An input column with the output's name is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapsewise.llm import common
 
-SPAN, DECAY, WIDTH, DIMS = 5, 0.6, 20, 1 << 16
-LANDMARKS = 200
-#: Labelled rows used to fit, at most about so many of each label.
-TRAIN_ROWS = 4000
-#: Training words of each side, at most.
-TRAIN_WORDS = 4000
+SPAN, DECAY, WIDTH, POWER = 5, 0.6, 20, 3
+BITS = 20
+LANDMARKS = 900
+#: Standard errors by which a word's share of toxic sentences must exceed that of clean ones to mark toxicity.
+LEAST_APART = 3.0
+#: Weight of the errors against that of the SVM's length.
+SLACK, STEPS = 1000.0, 300
+#: Labelled rows used to fit, at most, of each label; of these a share sets the limit only.
+TRAIN_ROWS, LIMIT_SHARE = 4000, 4
+#: Training sentences, at most, of each label, and words of a sentence (longer ones are cut into several).
+TRAIN_SENTENCES, SENTENCE_WORDS = 12_000, 40
+ROUNDS = 3
 _INNER = re.compile(r"[\W\d_]+")
+# A mark ends a sentence only before a space: letters with a mark after each (i.d.i.o.t) are one word.
+_ENDS = re.compile(r"[.!?]+\s+|\n+")
 _known: dict[int, dict[str, float]] = {}
 
 
-def words_of(text: str) -> set[str]:
-    """Distinct lower-case words without inner marks; letters standing alone in a row form one word."""
-    out, single = set(), []
-    for token in text.lower().split():
-        word = _INNER.sub("", token)
+def words_of(sentence: str) -> list[str]:
+    """Lower-case words without inner marks; letters standing alone in a row form one word."""
+    out: list[str] = []
+    single: list[str] = []
+    for token in sentence.lower().split():
+        word = token if token.isalpha() else _INNER.sub("", token)
         if len(word) == 1:
             single.append(word)
             continue
-        if len(single) > 2:
-            out.add("".join(single))
-        single = []
+        if single:
+            if len(single) > 2:
+                out.append("".join(single))
+            single = []
         if len(word) > 2:
-            out.add(word)
+            out.append(word)
     if len(single) > 2:
-        out.add("".join(single))
+        out.append("".join(single))
+    return out
+
+
+def sentences(text: str | None) -> list[list[str]]:
+    """Distinct words of each sentence, sorted; words beyond ``SENTENCE_WORDS`` form further sentences."""
+    out = []
+    for part in _ENDS.split(text or ""):
+        words = words_of(part)
+        for i in range(0, len(words), SENTENCE_WORDS):
+            out.append(sorted({p for w in words[i : i + SENTENCE_WORDS] for p in pieces(w)}))
     return out
 
 
@@ -58,114 +86,191 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and weight of each gapped three-letter subsequence, one row per word of length <= WIDTH."""
     codes = np.zeros((len(words), WIDTH + SPAN), dtype=np.uint64)
     for i, word in enumerate(words):
-        codes[i, : len(word)] = [ord(c) for c in word]
+        codes[i, : len(word)] = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     buckets, weights = [], []
     for b in range(2, SPAN + 1):
         for a in range(1, b):
             x, y, z = codes[:, :WIDTH], codes[:, a : a + WIDTH], codes[:, b : b + WIDTH]
             h = ((x * np.uint64(0x9E3779B1) + y) * np.uint64(0x85EBCA77) + z) * np.uint64(0xC2B2AE3D27D4EB4F)
-            buckets.append((h >> np.uint64(48)).astype(np.int32))
+            buckets.append((h >> np.uint64(64 - BITS)).astype(np.int32))
             weights.append(np.where(z > 0, np.float32(DECAY ** (b - 2)), np.float32(0)))
     buckets, weights = np.concatenate(buckets, axis=1), np.concatenate(weights, axis=1)
-    length = np.sqrt((weights**2).sum(axis=1, keepdims=True))
-    return buckets, weights / np.where(length > 0, length, 1)
-
-
-def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Kernel values of words against landmarks, both scaled to length one."""
-    buckets, weights = subsequences(words)
-    out = np.zeros((len(words), len(landmarks)))
-    for j, (b, w) in enumerate(zip(*subsequences(landmarks))):
-        dense = np.bincount(b, weights=w, minlength=DIMS)
-        out[:, j] = (dense[buckets] * weights).sum(axis=1)
+    return buckets, weights
+
+
+class Landmarks:
+    """Landmark words, indexed by the subsequences they hold."""
+
+    def __init__(self, words: list[str]):
+        buckets, weights = subsequences(words)
+        owner = np.repeat(np.arange(len(words)), buckets.shape[1])
+        used = weights.ravel() > 0
+        keys, at = np.unique(buckets.ravel()[used].astype(np.int64) * len(words) + owner[used], return_inverse=True)
+        sums = np.bincount(at, weights=weights.ravel()[used])
+        self.words, self.owner, self.weight = words, keys % len(words), sums
+        self.norm = np.sqrt(np.maximum(np.bincount(self.owner, weights=sums**2, minlength=len(words)), 1e-12))
+        self.first = np.searchsorted(keys // len(words), np.arange((1 << BITS) + 1)).astype(np.int32)
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        """Kernel values of words against the landmarks, between 0 and 1."""
+        buckets, weights = subsequences(words)
+        used = np.flatnonzero(weights.ravel() > 0)
+        row, bucket = used // buckets.shape[1], buckets.ravel()[used].astype(np.int64)
+        # A subsequence that stands in a word several times counts with its summed weight.
+        keys, at = np.unique((row << BITS) | bucket, return_inverse=True)
+        sums = np.bincount(at, weights=weights.ravel()[used])
+        row, bucket = keys >> BITS, keys & ((1 << BITS) - 1)
+        norm = np.sqrt(np.maximum(np.bincount(row, weights=sums**2, minlength=len(words)), 1e-12))
+        width = self.first[bucket + 1] - self.first[bucket]
+        place = np.repeat(self.first[bucket] - (np.cumsum(width) - width), width) + np.arange(width.sum())
+        value = np.repeat(sums, width) * self.weight[place]
+        size = len(self.words)
+        out = np.bincount(np.repeat(row, width) * size + self.owner[place], weights=value, minlength=len(words) * size)
+        return (out.reshape(len(words), size) / norm[:, None] / self.norm) ** POWER
+
+
+def choose_landmarks(rows: list[list[str]], y: np.ndarray) -> list[str]:
+    """Words that most set toxic sentences apart, the commonest words, and the clean words most like the first."""
+    bad, good = Counter(), Counter()
+    for words, label in zip(rows, y):
+        (bad if label > 0 else good).update(words)
+    n_bad, n_good = max(1, int((y > 0).sum())), max(1, int((y < 0).sum()))
+    every = sorted(set(bad) | set(good))
+    b, g = (np.array([c[w] for w in every], dtype=np.float64) for c in (bad, good))
+    share = (b + g) / (n_bad + n_good)
+    apart = (b / n_bad - g / n_good) / np.sqrt(share * (1 - share) * (1 / n_bad + 1 / n_good) + 1e-12)
+    third = LANDMARKS // 3
+    marked = [every[i] for i in np.argsort(-apart, kind="stable")[:third] if apart[i] > LEAST_APART]
+    chosen = dict.fromkeys(marked + [every[i] for i in np.argsort(-(b + g), kind="stable")[:third]])
+    clean = [w for w, n in zip(every, g) if n > 0 and w not in chosen]
+    if marked and clean:
+        near, index = np.zeros(len(clean)), Landmarks(marked)
+        for i in range(0, len(clean), 4096):
+            near[i : i + 4096] = index.kernel(clean[i : i + 4096]).max(axis=1)
+        chosen |= dict.fromkeys(clean[i] for i in np.argsort(-near, kind="stable")[:third])
+    return list(chosen)
+
+
+def word_weights(words: list[str], index: Landmarks, alpha: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(words))
+    for i in range(0, len(words), 2048):
+        out[i : i + 2048] = index.kernel(words[i : i + 2048]) @ alpha
     return out
 
 
-def fit_words(positive: list[str], negative: list[str], seed: int = 11) -> np.ndarray:
-    """Weight of each hashed subsequence, the bias last."""
-    pick = np.random.default_rng(seed)
-    half = LANDMARKS // 2
-    landmarks = [
-        w for side in (positive, negative)
-        for w in (side if len(side) <= half else [side[i] for i in sorted(pick.choice(len(side), half, False))])
-    ]
-    among = kernel(landmarks, landmarks)
+def fit_sentences(rows: list[list[str]], y: np.ndarray, text: np.ndarray) -> tuple[list[str], np.ndarray, float]:
+    """Landmark words, their weights and the bias from sentences (distinct words), labels +-1 and text numbers."""
+    index = Landmarks(choose_landmarks(rows, y))
+    among = index.kernel(index.words)
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     keep = values > 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])
-    words = positive + negative
-    y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-    w = common.fit_linear_svm(kernel(words, landmarks) @ root, y, c=50.0, steps=400)
-    alpha, folded = root @ w[:-1], np.zeros(DIMS + 1)
-    for a, b, weight in zip(alpha, *subsequences(landmarks)):
-        np.add.at(folded, b, a * weight)
-    folded[-1] = w[-1]
-    return folded
-
-
-def word_margins(words: list[str], folded: np.ndarray) -> np.ndarray:
-    if not words:
-        return np.zeros(0)
-    buckets, weights = subsequences(words)
-    return (folded[buckets] * weights).sum(axis=1) + folded[-1]
-
-
-def text_margins(texts, folded: np.ndarray, known: dict[str, float]) -> list[float]:
-    """Largest word margin of each text, -3 without words."""
-    found = [{p for w in words_of(t) for p in pieces(w)} if t else set() for t in texts]
-    new = sorted({w for words in found for w in words if w not in known})
+    place: dict[str, int] = {}
+    flat = np.array([place.setdefault(w, len(place)) for words in rows for w in words], dtype=np.int64)
+    owner = np.repeat(np.arange(len(rows)), [len(words) for words in rows])
+    every, x = list(place), np.zeros((len(rows), root.shape[1]), dtype=np.float32)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    for i in range(0, len(every), 2048):
+        part = (index.kernel(every[i : i + 2048]) @ root).astype(np.float32)
+        a, b = np.searchsorted(flat, [i, i + 2048])
+        np.add.at(x, owner[a:b], part[flat[a:b] - i])
+    used = np.ones(len(rows), dtype=bool)
+    for _ in range(ROUNDS):
+        w = fit_svm(x, y, used)
+        margin = x @ w[:-1] + w[-1]
+        worst = np.full(int(text.max(initial=0)) + 1, -np.inf)
+        np.maximum.at(worst, text[y > 0], margin[y > 0])
+        used = (y < 0) | (margin > 0) | (margin >= worst[text])
+    return index.words, root @ w[:-1], float(w[-1])
+
+
+def fit_svm(x: np.ndarray, y: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Weights (bias last) of a squared-hinge SVM on the used rows, classes balanced, by accelerated descent; ``x`` is
+    not copied."""
+    y = y.astype(np.float32)
+    share = np.where(y > 0, 0.5 / max(1, (used & (y > 0)).sum()), 0.5 / max(1, (used & (y < 0)).sum())) * used
+    share, ridge = share.astype(np.float32), 1.0 / SLACK / 100
+
+    def both(r):
+        return np.append(x.T @ r, r.sum())
+
+    v = np.ones(x.shape[1] + 1, dtype=np.float32)
+    for _ in range(20):
+        v = both(share * (x @ v[:-1] + v[-1]))
+        v /= np.linalg.norm(v) or 1.0
+    size = 1.0 / (ridge + 2 * np.linalg.norm(both(share * (x @ v[:-1] + v[-1]))) + 1e-9)
+    w = z = np.zeros_like(v)
+    t = 1.0
+    for _ in range(STEPS):
+        slack = np.maximum(0.0, 1.0 - y * (x @ z[:-1] + z[-1]))
+        step = (z - size * (z * ridge - 2 * both(share * y * slack))).astype(np.float32)
+        t_next = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        z, w, t = (step + (t - 1) / t_next * (step - w)).astype(np.float32), step, t_next
+    return w.astype(np.float64)
+
+
+def text_margins(texts, index: Landmarks, alpha: np.ndarray, bias: float, known: dict[str, float]) -> list[float]:
+    """Largest sentence margin of each text, -3 without words. ``known`` remembers the weights of words."""
+    found = [sentences(t) for t in texts]
+    new = {w for rows in found for words in rows for w in words}.difference(known)
     if len(known) + len(new) > 400_000:
         known.clear()
-        new = sorted({w for words in found for w in words})
-    for i in range(0, len(new), 4096):
-        known.update(zip(new[i : i + 4096], word_margins(new[i : i + 4096], folded).tolist()))
-    return [max((known[w] for w in words), default=-3.0) for words in found]
+        new = {w for rows in found for words in rows for w in words}
+    new = sorted(new)
+    known.update(zip(new, word_weights(new, index, alpha).tolist()))
+    weight = known.__getitem__
+    return [max((sum(map(weight, words)) for words in rows), default=-3.0 - bias) + bias for rows in found]
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, rows_per_label: int, seed: int) -> DataFrame:
+    """(y, share, text): equal texts once, at most ``rows_per_label`` of each label, by the hash of the text."""
+    given = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (common.fold(F.col("doc_id")) != 0))
+    given = given.groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    sample = common.bounded_sample(given, "y", "doc_id", 2 * rows_per_label, seed)  # bounded
+    texts = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy(F.sha2(F.col("text").cast("binary"), 256).alias("digest")).agg(
+        F.max("y").alias("y"), F.first("text").alias("text")
+    )
+    place = F.row_number().over(Window.partitionBy("y").orderBy("digest"))
+    few = texts.withColumn("_place", place).where(F.col("_place") <= rows_per_label)
+    return few.select("y", (F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % LIMIT_SHARE).alias("share"), "digest", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = TRAIN_ROWS, seed: int = 5):
-    """(subsequence weights, text threshold); None if one of the labels is missing."""
+    """(landmark words, weights, bias, limit); None if one of the labels is missing."""
     common.small_batches(docs.sparkSession)
-    given = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (common.fold(F.col("doc_id")) != 0))
-    given = given.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
-    sample = F.broadcast(common.bounded_sample(given, "_toxic", "doc_id", rows_per_label, seed))  # bounded
-    labelled = docs.select("doc_id", "text").where("text is not null").join(sample, "doc_id")
+    given = labelled_texts(docs, labels, rows_per_label, seed).persist()
 
     def spread(batches):
         for batch in batches:
-            rows = [(w, int(y)) for t, y in zip(batch["text"], batch["_toxic"]) for w in words_of(t)]
-            yield pd.DataFrame(rows, columns=["word", "y"])
-
-    sizes = {r[0]: r[1] for r in labelled.groupBy("_toxic").count().collect()}
-    if len(sizes) < 2:
-        return None
-    counted = (
-        labelled.mapInPandas(spread, "word string, y int").groupBy("word")
-        .agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
-        .withColumn("odds", F.log((F.col("bad") + 0.2) / sizes[1]) - F.log((F.col("good") + 0.2) / sizes[0]))
-    )
-    least = max(3, sizes[1] // 500)
-    positive = (
-        counted.where((F.col("bad") >= least) & (F.col("odds") > 2.5))
-        .orderBy(F.desc("odds"), "word").limit(TRAIN_WORDS).collect()
-    )
-    if not positive:
-        return None
-    negative = (
-        counted.where("good > 0 and odds < 0.5")
-        .orderBy(F.desc(F.col("good") >= 5), F.xxhash64("word"), "word").limit(2 * TRAIN_WORDS).collect()
-    )
-    folded = fit_words(
-        sorted({p for r in positive for p in pieces(r.word)}), sorted({p for r in negative for p in pieces(r.word)})
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(folded)
-
-    def margins(batches):
-        known: dict[str, float] = {}
-        for batch in batches:
-            yield pd.DataFrame({"m": text_margins(batch["text"], shared.value, known), "y": batch["_toxic"]})
-
-    seen = np.array([tuple(r) for r in labelled.mapInPandas(margins, "m double, y int").collect()])
-    return folded, best_cut(seen[:, 0], seen[:, 1])
+            rows = [(s, d, int(y)) for t, d, y in zip(batch["text"], batch["digest"], batch["y"]) for s in map(" ".join, sentences(t))]
+            yield pd.DataFrame(rows, columns=["sentence", "digest", "y"])
+
+    try:
+        told = given.where("share > 0").mapInPandas(spread, "sentence string, digest string, y int").where("sentence <> ''")
+        told = told.groupBy("sentence").agg(F.min("y").alias("y"), F.min("digest").alias("digest"))
+        place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("sentence"), "sentence"))
+        told = told.withColumn("_place", place).where(F.col("_place") <= TRAIN_SENTENCES).toPandas()  # bounded
+        if told["y"].nunique() < 2:
+            return None
+        told = told.sort_values(["y", "_place"])
+        y = np.where(told["y"] > 0, 1.0, -1.0)
+        model = fit_sentences([s.split(" ") for s in told["sentence"]], y, pd.factorize(told["digest"])[0])
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        def margins(batches):
+            words, alpha, bias = shared.value
+            index, known = Landmarks(words), {}
+            for batch in batches:
+                yield pd.DataFrame({"m": text_margins(batch["text"], index, alpha, bias, known), "y": batch["y"]})
+
+        unseen = given.where("share = 0")
+        held = [tuple(r) for r in unseen.mapInPandas(margins, "m double, y int").collect()]  # bounded
+    finally:
+        given.unpersist()
+    seen = np.array(held or [(0.0, 0.0)])
+    return *model, best_cut(seen[:, 0], seen[:, 1]) if len(set(seen[:, 1])) == 2 else 0.0
 
 
 def best_cut(margins: np.ndarray, y: np.ndarray) -> float:
@@ -180,17 +285,21 @@ def best_cut(margins: np.ndarray, y: np.ndarray) -> float:
     return float((low + high) / 2)
 
 
-def score(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with toxic_score in 0..1, 0.5 at the cut; without a model every score is 0."""
+def score(docs: DataFrame, model, text: str = "text", out: str = "toxic_score") -> DataFrame:
+    """``docs`` with a score in 0..1, 0.5 at the limit; without a model every score is 0."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
         if shared.value is None:
             return pd.Series([0.0] * len(texts))
-        folded, cut = shared.value
-        known = _known.setdefault(hash(folded.tobytes()), {})
-        margins = np.array(text_margins(texts, folded, known))
-        return pd.Series(common.sigmoid(4 * (margins - cut)))
-
-    return docs.withColumn("toxic_score", run("text"))
+        words, alpha, bias, limit = shared.value
+        key = hash((tuple(words), alpha.tobytes()))
+        if key not in _known:
+            _known.clear()
+            _known[key] = (Landmarks(words), {})
+        index, known = _known[key]
+        margins = np.array(text_margins(texts, index, alpha, bias, known))
+        return pd.Series(common.sigmoid(4 * (margins - limit)))
+
+    return docs.withColumn(out, run(F.col(text)))
