@@ -1,7 +1,7 @@
 """Quality rules with a hashed n-gram log-likelihood ratio of trusted text against the raw corpus.
 
-Two multinomials over hashed character n-grams are counted over all documents: rows labelled good
-are the trusted target, all rows are the raw corpus. A text's score is the mean log ratio of its
+Two multinomials over hashed character n-grams are counted: at most ``TRUSTED_ROWS`` rows labelled good are the trusted
+target, all rows are the raw corpus. A text's score is the mean log ratio of its
 n-grams. The threshold comes from the scores of the labelled rows and every text is judged by it.
 Null and empty texts have no words, fail the base rule and score 0. Repeated rows are judged alike.
 """
@@ -20,6 +20,8 @@ from lapsewise.llm import common
 from lapsewise.storage import write_and_reload
 
 SIZES, DIMS = (2, 3), 8192
+#: Rows labelled good that form the trusted target, at most, by a hash of their ids.
+TRUSTED_ROWS = 20_000
 #: Share of the trusted rows that the threshold must keep.
 LEAST_TRUSTED = 0.99
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -44,7 +46,9 @@ def text_rules(text: str) -> tuple[int, int, int, int, int]:
 
 def count_ngrams(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Bucket counts over all documents: row 0 the raw corpus, row 1 the trusted target."""
-    trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_trusted")).distinct()
+    trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_trusted")).distinct()
+    # A bounded sample: its ids go to every task, so that no text moves.
+    trusted = F.broadcast(trusted.orderBy(F.xxhash64(F.lit(3), "_trusted"), "_trusted").limit(TRUSTED_ROWS))
     marked = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("_trusted"), "left")
 
     def count(batches):
