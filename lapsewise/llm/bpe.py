@@ -77,6 +77,7 @@ class Encoder:
         self.entries = entries
         self.whole = {entry: rank for rank, entry in enumerate(entries)}
         self.known: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[bytes, int, bytes]] = {}
 
     def encode(self, text: str) -> list[int]:
         known, ids = self.known, []
@@ -92,6 +93,24 @@ class Encoder:
             ids += found
         return ids
 
+    def piece(self, token: str) -> tuple[bytes, int, bytes]:
+        """Of a pre-token: its ids as text, their number, and the bytes that the ids decode to."""
+        data = token.encode("utf-8", "surrogatepass")
+        rank = self.whole.get(data)
+        ids = [rank] if rank is not None else self.model.encode(to_characters(data))
+        return ",".join(map(str, ids)).encode(), len(ids), self.decode(ids)
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the ids joined by commas and of the bytes that they decode to."""
+        pieces, tokens = self.pieces, self.split(text)
+        if len(pieces) > CACHE_SIZE:
+            pieces.clear()
+        for token in set(tokens).difference(pieces):
+            pieces[token] = self.piece(token)
+        texts, counts, decoded = zip(*map(pieces.__getitem__, tokens)) if tokens else ((), (), ())
+        ids = hashlib.sha256(b",".join(texts)).hexdigest()
+        return sum(counts), ids, hashlib.sha256(b"".join(decoded)).hexdigest()
+
     def decode(self, ids: list[int]) -> bytes:
         entries = self.entries
         return b"".join([entries[i] for i in ids])
@@ -99,7 +118,7 @@ class Encoder:
 
 def _worker(shared) -> Encoder:
     model, entries, pattern = shared.value
-    key = hashlib.sha256(model + pattern.encode()).hexdigest()
+    key = f"{hash(model)} {pattern}"
     if key not in _workers:
         _workers[key] = Encoder(model, entries, pattern)
     return _workers[key]
@@ -135,5 +154,19 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.withColumn(out, run(F.col(ids)))
 
 
+def digests(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "digests") -> DataFrame:
+    """``df`` with n_tokens, ids_sha256 and decoded_sha256 of every whole text: what encoding it and decoding the ids
+    gives, without handing the ids on. Pre-tokens and what their ids decode to are remembered."""
+    shared = _shared(df.sparkSession, path, pattern)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        encoder = _worker(shared)
+        rows = [encoder.digests(t or "") for t in texts]
+        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return df.withColumn(out, run(F.col(text)))
+
+
 def ids_digest(ids: Column) -> Column:
     return F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256)

@@ -51,11 +51,7 @@ def op3_bpe(spark, sf_dir):
     common.small_batches(spark)
     path, pattern = default_vocabulary()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
-    return rows.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(docs, path, pattern).select("doc_id", "digests.*")
 
 
 def op4_quality(spark, sf_dir):
