@@ -92,11 +92,11 @@ def select(
         schema,
     )
     each = base.join(F.broadcast(plan), leaf).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    # The hash order of a leaf is cut into pieces of bounded size; sums of pieces give each its start.
-    order = F.xxhash64(F.lit(seed), "epoch", key)
-    piece = F.floor(F.pmod(F.shiftrightunsigned(order, 20), F.lit(1 << 40)) / float(1 << 40) * F.col("_pieces"))
-    each = each.withColumn("_order", F.shiftrightunsigned(order, 4)).withColumn("_piece", piece)
-    # Pieces follow the high part of the hash, so their order is the hash order.
+    # The hash order of a leaf is cut into pieces of bounded size; sums of pieces give each its start. A piece is
+    # a range of the leading bits of the number that rows are ordered by, so the order does not depend on the pieces.
+    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "epoch", key, tokens), 1)
+    piece = F.floor(F.shiftright("_order", 23) / float(1 << 40) * F.col("_pieces"))
+    each = each.withColumn("_order", order).withColumn("_piece", piece)
     sums = each.groupBy(*leaf, "epoch", "_piece").agg(F.sum(tokens).alias("_n"))
     running = " , ".join(leaf)
     sums = sums.selectExpr(
@@ -105,7 +105,7 @@ def select(
     walked = each.join(write_and_reload(sums, "mixing-pieces"), [*leaf, "epoch", "_piece"])
     walked = walked.selectExpr(
         "*",
-        f"_before + sum({tokens}) over (partition by {running}, epoch, _piece order by _order, {key} "
+        f"_before + sum({tokens}) over (partition by {running}, epoch, _piece order by _order, {key}, {tokens} "
         "rows between unbounded preceding and current row) as _reached",
     )
     return walked.where("_reached <= leaf_budget").select(key, *levels, tokens, "epoch", "leaf_budget")
