@@ -122,8 +122,8 @@ CTES = {
         CASE WHEN event_type = 'view' THEN 'artist_' || (k % 20) END AS artist,
         CASE WHEN event_type = 'view' THEN 'song_' || k END AS song,
         CASE WHEN event_type = 'view' THEN 100 + value END AS length
-        FROM raw JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey""",
+        FROM raw LEFT JOIN (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey) ON user_id = c_custkey""",
     "log": """SELECT * FROM activity WHERE "userId" <> '' AND "sessionId" IS NOT NULL""",
     "seg": f"""SELECT *, trim(split_part(location, ',', 1)) AS city, trim(split_part(location, ',', 2)) AS state,
         regexp_extract("userAgent", '\\(([^;( ]*)', 1) AS device,

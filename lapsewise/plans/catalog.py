@@ -329,11 +329,9 @@ def queries() -> dict[str, Query]:
                 F.count("*").alias("n_logs")
             )
         ),
-        "agent_columns": on_raw(
-            lambda log: cleaning.with_agent_columns(log).groupBy("userAgent", "device", "browser").agg(
-                F.count("*").alias("n_logs")
-            )
-        ),
+        "agent_columns": lambda s, sf: cleaning.with_agent_columns(activity_log(s, sf, profile=False)).groupBy(
+            "userAgent", "device", "browser"
+        ).agg(F.count("*").alias("n_logs")),
         "days_since_registration_events": on_events(
             lambda log: cleaning.with_account_age(log).select("userId", "ts", "days_since_registration")
         ),

@@ -78,7 +78,8 @@ def activity_log(spark: SparkSession, sf_dir: str, profile: bool = True) -> Data
         .select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment", "place")
     )
     named = F.col("userId") != ""
-    joined = join_on_skewed_key(log, customers, "user_id", spread_by=["ts", "page"])
+    # Events of a user without a customer row stay, without names and location.
+    joined = join_on_skewed_key(log, customers, "user_id", spread_by=["ts", "page"], how="left")
     return joined.select(
         *[c for c in log.columns if c != "user_id"],
         F.when(named, F.col("c_name")).alias("firstName"),

@@ -71,3 +71,17 @@ def test_account_age_is_cut_to_whole_days(make_log):
 def test_page_column(make_log):
     log = make_log({"page": "Add to Playlist"})
     assert log.select(L.page_column(F.col("page"))).first()[0] == "page_add_to_playlist"
+
+
+def test_events_of_unknown_customers_stay(spark, tmp_path):
+    from lapsewise.sources import activity_log
+
+    for name in ("nation", "region", "customer"):
+        table = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        (table.where("c_custkey % 2 = 0") if name == "customer" else table).write.parquet(f"{tmp_path}/{name}.parquet")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    log = activity_log(spark, str(tmp_path))
+    assert log.count() == events.count()
+    odd = log.where("userId <> '' and cast(userId as long) % 2 = 1")
+    assert odd.count() > 0 and odd.where("firstName is not null or location is not null").count() == 0
