@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.operators.skew import join_on_skewed_key
 from lapsewise.schema import CHURN_PAGE, DOWNGRADE_PAGE
+from lapsewise.storage import write_and_reload
 
 
 def page_flag(page: str) -> Column:
@@ -46,10 +47,10 @@ def churn_flagged_log(log: DataFrame) -> DataFrame:
     """The log with event flags and, on every row, the user's churn and downgrade count.
 
     A window over the user would bring all events of a user to one task and sort them. The flags
-    need one value per user, so they are aggregated (combined before the shuffle) and joined back
-    with the busiest users split up.
+    need one value per user, so they are aggregated (combined before the shuffle), written, and joined back
+    with the busiest users split up. The log is read twice: for the flags and for the rows.
     """
-    flags = user_flags(log)
+    flags = write_and_reload(user_flags(log), "flags")
     sizes = flags.select("userId", F.col("n_logs").alias("n"))
     spread_by = [c for c in ("ts", "page", "sessionId") if c in log.columns]
     return join_on_skewed_key(log, flags.drop("n_logs"), "userId", spread_by, sizes).withColumns(

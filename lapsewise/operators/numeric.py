@@ -13,6 +13,7 @@ from lapsewise.operators.sessions import (
     session_table,
 )
 from lapsewise.schema import BOXED_PAGES, CHURN_PAGE, page_slug
+from lapsewise.storage import write_and_reload
 
 METRICS = [
     "num_sessions",
@@ -126,8 +127,13 @@ def metrics_long(per_user: DataFrame, metrics: list[str]) -> DataFrame:
 def summarize(long: DataFrame, by: list[str], value: str) -> DataFrame:
     """Count, mean, standard deviation, min, quartiles and max of a value per group.
 
-    The groups (a label, a metric or page name) are few, so the joined statistics are too.
+    The groups (a label, a metric or page name) are few, so the joined statistics are too. The values are written
+    once, as several passes read them.
     """
+    return _summarize(write_and_reload(long.select(*by, value), "values"), by, value)
+
+
+def _summarize(long: DataFrame, by: list[str], value: str) -> DataFrame:
     moments = long.groupBy(*by).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
@@ -145,7 +151,8 @@ def numeric_summary(log: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
 
 def length_by_churn(log: DataFrame, digits: int = 1) -> DataFrame:
     """Track length in each churn group; the sum is in hours."""
-    tracks = churn_flagged_log(log.select("userId", "page", "ts", "length")).where("length is not null")
+    flagged = churn_flagged_log(log.select("userId", "page", "ts", "length")).where("length is not null")
+    tracks = write_and_reload(flagged.select("churn", "length"), "tracks")
     moments = tracks.groupBy("churn").agg(
         F.avg("length").alias("avg_length"),
         F.stddev_samp("length").alias("stddev_length"),
@@ -174,10 +181,10 @@ def histogram(long: DataFrame, bins: dict[str, int], by: str | None = "churn") -
     ``bins`` gives the number of bins per metric; the range of a metric spans all groups.
     """
     group = ["metric", *([by] if by else [])]
+    long = write_and_reload(long.select(*group, "value"), "values")
     bin_count = F.create_map(*[F.lit(x) for pair in bins.items() for x in pair])
     ranges = long.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    # One row per metric.
-    placed = long.join(F.broadcast(ranges), "metric").withColumn("n_bins", bin_count[F.col("metric")])
+    placed = long.join(ranges, "metric").withColumn("n_bins", bin_count[F.col("metric")])
     width = (F.col("high") - F.col("low")) / F.col("n_bins")
     position = F.floor(F.coalesce(F.try_divide(F.col("value") - F.col("low"), width), F.lit(0.0)))
     counts = (
@@ -208,10 +215,10 @@ def box_stats(long: DataFrame, by: list[str], value: str) -> DataFrame:
 
     Whiskers end at the last value within 1.5 quartile distances of the box.
     """
-    boxes = summarize(long, by, value).select(*by, "n", "min", "q1", "median", "q3", "max")
+    long = write_and_reload(long.select(*by, value), "values")
+    boxes = write_and_reload(_summarize(long, by, value).select(*by, "n", "min", "q1", "median", "q3", "max"), "boxes")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    # One row per group.
-    limits = F.broadcast(boxes.select(*by, (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi")))
+    limits = boxes.select(*by, (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi"))
     whiskers = (
         long.join(limits, by)
         .where(F.col(value).between(F.col("lo"), F.col("hi")))
