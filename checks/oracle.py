@@ -431,6 +431,9 @@ def oracle_sql() -> dict[str, str]:
         "train_test_split": """SELECT "userId", churn,
             CASE WHEN CAST('0x' || substr(md5('42:' || "userId"), 1, 8) AS BIGINT) % 1000 < 700
             THEN 'train' ELSE 'test' END AS part FROM label""",
+        "fold_sizes": """SELECT CAST(CAST('0x' || substr(md5('42:' || "userId"), 9, 8) AS BIGINT) % 5 AS INTEGER) AS fold,
+            churn, count(*) AS n_users FROM label
+            WHERE CAST('0x' || substr(md5('42:' || "userId"), 1, 8) AS BIGINT) % 1000 < 700 GROUP BY ALL""",
         "confusion_metrics": _confusion(),
         "area_under_curve": f"""SELECT level, n_positive, n_negative,
             {r("(ranks - n_positive * (n_positive + 1) / 2.0) / nullif(CAST(n_positive AS DOUBLE) * n_negative, 0)", 9)} AS auc

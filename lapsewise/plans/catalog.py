@@ -178,6 +178,12 @@ def ranked_area(table: DataFrame) -> DataFrame:
     return ranking.area_under_curve(table, "avg_songs_per_session", by=["level"])
 
 
+def fold_sizes(table: DataFrame) -> DataFrame:
+    """Users of the training part by cross-validation fold and label."""
+    training = weighting.train_test_split(table)[0]
+    return weighting.with_fold(training, modelling.Training().folds).groupBy("fold", "churn").agg(F.count("*").alias("n_users"))
+
+
 def split_sizes(table: DataFrame) -> DataFrame:
     part = F.when(weighting.in_training_set(), "train").otherwise("test")
     return table.select("userId", "churn", part.alias("part"))
@@ -403,6 +409,7 @@ def queries() -> dict[str, Query]:
         ),
         "minmax_scaled": on_features(lambda t: selection.min_max_scaled(t, features.table_features(t)), SUM_OF_LENGTHS),
         "train_test_split": on_features(split_sizes),
+        "fold_sizes": on_features(fold_sizes),
         "area_under_curve": on_features(ranked_area, {"auc": 9}),
         "confusion_metrics": on_features(rule_based_metrics, CONFUSION_DIGITS),
         # report tables
