@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapsewise.llm.terms import byte_table, terms
-from lapsewise.storage import write_and_reload
+from lapsewise.storage import new_path, write_and_reload
 
 MIN_DOCS, TOP_TERMS = 3, 200
 #: Terms per model, about; the slice of all terms that the estimate counts.
@@ -88,7 +88,12 @@ def vocabulary(rows: DataFrame, parts: int, part: int) -> bytes:
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(MIN_DOCS), vocabSize=2**31 - 1).fit(
         rows.unionByName(extra)
     )
-    return "\n".join(filter(None, model.vocabulary)).encode()
+    # Through a file, as one value: the terms as a Python list would take several times their size on the driver.
+    path = new_path(rows.sparkSession, "divergence-model")
+    model.write().save(path)
+    saved = rows.sparkSession.read.parquet(f"{path}/data")
+    joined = F.array_join(F.array_remove("vocabulary", F.lit("")), "\n").cast("binary")
+    return bytes(saved.select(joined).first()[0])
 
 
 _numbers: dict[int, dict[bytes, dict[bytes, int]]] = {}
