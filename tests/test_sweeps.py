@@ -72,3 +72,22 @@ def test_open_units_are_those_without_a_row(spark):
     assert jobs.open_units(planned).count() == 4
     jobs.flush()
     assert sorted(r.fold for r in jobs.open_units(planned).collect()) == [0, 2] and jobs.of(planned).count() == 2
+
+
+def test_settings_of_the_same_model_are_fitted_once(table, spark, monkeypatch):
+    fits, right = [], modelling.fold_score
+    monkeypatch.setattr(modelling, "fold_score", lambda *args: fits.append(args) or right(*args))
+    jobs = new_path(spark, "jobs")
+
+    def swept(tune):
+        training = Training(kinds=["LogisticRegression"], folds=2, tune=tune, params={"LogisticRegression": {"maxIter": 2}})
+        done = modelling.sweep(table, KEPT, [2], training, jobs=jobs).collect()
+        return done[0].num_params, len(fits)
+
+    # Nine settings, three of them without a penalty; the default one is among them.
+    assert swept(tune=True) == (9, 14)
+    assert swept(tune=False) == (1, 14)
+    frame = modelling.model_frame(table, KEPT[:2], class_weight=True)
+    training = Training(folds=2, tune=True, params={"LogisticRegression": {"maxIter": 2}})
+    averages = modelling.train("LogisticRegression", frame, KEPT[:2], training).avg_metrics
+    assert len(averages) == 9 and averages[0] == averages[1] == averages[2] and len(fits) == 28
