@@ -17,7 +17,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapsewise.storage import write_and_reload
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The phrases of the base rule and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 # Well-known opening sentences of public licenses.
@@ -48,9 +51,18 @@ RARE_WORDS = 6
 QUORUM = 0.6
 
 
-def lower_words(text: Column) -> Column:
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), upper, upper.lower()), F.lit(WORD), F.lit(0))
+def word_line(text: Column) -> Column:
+    """The words of a text with one space between them; empty without words.
+
+    Lower case is that of all letters, which gives the words of A-Z alone but for the spelling of words that hold
+    other letters: the Kelvin sign, whose lower case is a k, is the only one that must not reach it.
+    """
+    safe = F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138"))
+    return F.trim(F.regexp_replace(F.lower(safe), NOT_WORD, " "))
+
+
+def words_of(line: Column) -> Column:
+    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " "))
 
 
 def template_words(text: str) -> list[str]:
@@ -64,7 +76,7 @@ def _texts(words: list[str]) -> Column:
 def build_index(docs: DataFrame, text: str = "text", rare_words: int = RARE_WORDS) -> list[tuple[str, str, int, float]]:
     """(word, template, position, idf) of each template's rarest words; counts cover all documents."""
     vocabulary = sorted({w for t in TEMPLATES.values() for w in template_words(t)})
-    found = docs.select(F.array_intersect(_texts(vocabulary), lower_words(F.col(text))).alias("w"))
+    found = docs.select(F.array_intersect(_texts(vocabulary), words_of(word_line(F.col(text)))).alias("w"))
     # One row per vocabulary word, and one for the number of documents.
     counted = found.select(F.explode(F.concat("w", F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
     seen = {r[0]: r[1] for r in counted}
@@ -83,33 +95,40 @@ def scan(docs: DataFrame, index: list[tuple[str, str, int, float]], key: str = "
     indexed = sorted({w for w, _, _, _ in index})
     # Equal ids with different texts stay apart, a null id is a value like any other.
     mark = F.xxhash64(F.col(key), F.coalesce(F.col(text), F.lit("")))
-    worded = docs.select(F.col(key), mark.alias("_mark"), lower_words(F.col(text)).alias("_words"))
-    line = F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" "))
+    lined = docs.select(F.col(key), mark.alias("_mark"), word_line(F.col(text)).alias("_words"))
+    lined = lined.withColumn("_line", F.concat(F.lit(" "), F.col("_words"), F.lit(" ")))
     base = " (" + "|".join(PHRASES) + ")(?= )"
     pieces = F.split("_line", base, -1)
 
     def spaces(s: Column) -> Column:
-        return F.length(s) - F.length(F.translate(s, " ", ""))
+        return F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
 
-    hits = F.regexp_extract_all("_line", F.lit(base), F.lit(1))
+    # Every phrase holds this word.
+    hits = F.when(F.contains("_words", F.lit("license")), F.regexp_extract_all("_line", F.lit(base), F.lit(1)))
     last = F.get("_hits", F.size("_hits") - 1)
     phrased = F.array_compact(
         F.array(*[F.when(F.contains("_line", F.lit(f" {p} ")), F.lit(name)) for name, p in sorted(MANDATORY.items())])
     )
+    n_words = F.when(F.col("_words") == "", F.lit(0)).otherwise(spaces(F.col("_words")) + 1)
+    # Placements count for templates whose phrase is there alone, so only those texts go further: the words of
+    # the others are not kept, and the texts are read once.
     figures = (
-        worded.withColumn("_line", line).withColumn("_hits", hits)
+        lined.withColumn("_hits", F.coalesce(hits, F.array().cast("array<string>"))).withColumn("_phrased", phrased)
+        .withColumn("n_words", n_words.cast("long"))
         .select(
-            key, "_mark", F.size("_words").cast("long").alias("n_words"), F.size("_hits").cast("long").alias("n_base"),
+            key, "_mark", "n_words", F.size("_hits").cast("long").alias("n_base"),
             F.when(F.size("_hits") > 0, spaces(F.get(pieces, 0))).cast("long").alias("first_word"),
             F.when(
                 F.size("_hits") > 0,
-                F.size("_words") - (spaces(F.get(pieces, F.size(pieces) - 1)) - 1) - spaces(last) - 1,
+                F.col("n_words") - (spaces(F.get(pieces, F.size(pieces) - 1)) - 1) - spaces(last) - 1,
             ).cast("long").alias("last_word"),
             F.array_distinct(F.transform("_hits", lambda h: F.element_at(
                 F.create_map(*[F.lit(x) for pair in PHRASES.items() for x in pair]), h))).alias("base_labels"),
-            phrased.alias("_phrased"),
+            "_phrased", F.when(F.size("_phrased") > 0, F.col("_words")).alias("_words"),
         )
     )
+    figures = write_and_reload(figures, "licenses-figures")
+    worded = figures.where("_words is not null").select("_mark", words_of(F.col("_words")).alias("_words"))
     postings = spark.createDataFrame(
         [(w, t, i) for w, t, i, _ in index], "_word string, template string, _at int"
     )  # a few words of each template
@@ -128,7 +147,7 @@ def scan(docs: DataFrame, index: list[tuple[str, str, int, float]], key: str = "
         .groupBy("_mark").agg(F.array_sort(F.collect_list(F.struct("template", "share"))).alias("_found"))
     )
     return (
-        figures.join(placed, "_mark", "left")
+        figures.drop("_words").join(placed, "_mark", "left")
         .withColumn(
             "templates",
             F.filter(
