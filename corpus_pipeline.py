@@ -30,10 +30,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of an id with several texts one takes part; its other texts stay, each once, unless they are copies.
     """
     marked = docs.where("doc_id is not null").withColumn("_digest", dedup.digest(F.col("doc_id"), F.col("text")))
-    counted = marked.groupBy("doc_id").agg(F.min("_digest").alias("_digest"))
+    digests = write_and_reload(marked.select("doc_id", "_digest"), "pipeline-digests")
+    counted = digests.groupBy("doc_id").agg(F.min("_digest").alias("_digest"))
     first = dedup.classes(docs).where("doc_id = class_id").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     own = counted.withColumnRenamed("_digest", "_counted")
-    further = marked.select("doc_id", "_digest").join(own, "doc_id").where("_digest <> _counted")
+    further = digests.join(own, "doc_id").where("_digest <> _counted")
     further = further.join(counted.select("_digest"), "_digest", "left_anti").groupBy("_digest").agg(F.min("doc_id").alias("doc_id"))
     kept = counted.join(first, "doc_id").unionByName(further)
     named = marked.join(kept, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "_digest"])

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.storage import write_and_reload
+from lapsewise.storage import write_and_reload, write_bucketed
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
@@ -230,26 +230,27 @@ def digest(key: Column, text: Column) -> Column:
 def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id) of every row with a key."""
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    marked = docs.withColumn("digest", digest(F.col("id"), F.col("text")))
+    marked = write_and_reload(docs.select("id", digest(F.col("id"), F.col("text")).alias("digest")), "dedup-digests")
     # One digest per id, then one id per digest: a representative stands for one text only.
-    counted = marked.groupBy("id").agg(F.min("digest").alias("digest"))
-    reps = counted.groupBy("digest").agg(F.min("id").alias("rep"))
-    members = write_and_reload(_spread_join(counted, reps, ["digest"], "id").select("id", "rep"), "dedup-members")
+    counted = marked.groupBy("id").agg(F.min("digest").alias("digest"), (F.min("digest") < F.max("digest")).alias("several"))
+    reps = counted.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("several", "id").alias("several"))
+    members = write_and_reload(_spread_join(counted.select("id", "digest"), reps.select("digest", "rep"), ["digest"], "id").select("id", "rep"), "dedup-members")
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    texts = reps.withColumnRenamed("digest", "counted")
-    kept = (
-        marked.where(_spaced(F.col("text")) != "").join(texts, marked["id"] == texts["rep"])
-        .where("digest = counted").dropDuplicates(["rep"]).select("rep", "text")
-    )
-    sketches = write_and_reload(
-        kept.mapInPandas(_sketched, "rep long, bands array<long>, items array<long>"), "dedup-sketches"
+    # Only an id with several texts needs its digests once more to tell which one is meant.
+    texts = reps.where("digest not like 'id %'").withColumnRenamed("digest", "counted")
+    meant = F.when(F.col("several"), digest(F.col("id"), F.col("text")) == F.col("counted")).otherwise(True)
+    kept = docs.join(texts, docs["id"] == texts["rep"]).where(meant).dropDuplicates(["rep"]).select("rep", "text")
+    sketches = write_bucketed(
+        kept.mapInPandas(_sketched, "rep long, bands array<long>, items array<long>"), "dedup-sketches", "rep"
     )
     buckets = sketches.select("rep", F.posexplode("bands").alias("band", "hash"))
     edges = write_and_reload(verified(_stars(buckets), sketches, least), "dedup-edges")
     comps = components(edges)
     for further in (_open_stars, _all_open):
         pairs = further(_still_open(buckets, comps))
-        edges = edges.union(write_and_reload(verified(pairs, sketches, least), "dedup-edges"))
-        comps = components(edges)
+        found = write_and_reload(verified(pairs, sketches, least), "dedup-edges")
+        if not found.isEmpty():
+            edges = edges.union(found)
+            comps = components(edges)
     out = _spread_join(members, comps.withColumnRenamed("node", "rep"), ["rep"], "id", "left")
     return out.select(F.col("id").alias(key), F.coalesce("comp", "rep").alias("class_id"))

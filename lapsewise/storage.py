@@ -38,6 +38,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def write_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``write_and_reload``, dealt by ``key`` as a join on it asks, so that such a join does not move the rows again."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.mode("overwrite").bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_and_reload(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage of ``df`` through a Parquet table in the shared folder."""
     path = new_path(df.sparkSession, name)

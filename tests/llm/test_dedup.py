@@ -20,3 +20,27 @@ def test_a_reused_id_does_not_tie_texts_together_and_loses_none(spark, monkeypat
     monkeypatch.setattr(dedup, "classes", lambda docs: again)
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
     assert sorted(r.text for r in kept) == [A, B, C, D]
+
+
+def test_the_items_of_all_texts_are_not_moved_to_compare_a_few(spark):
+    sketches = spark.range(50).selectExpr("id as rep", "array(id, id + 1) as items")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        held = dedup.write_bucketed(sketches, "sketches-test", "rep")
+        found = dedup.verified(pairs, held, 0.3)
+        assert [tuple(r) for r in found.collect()] == [(1, 2)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "items" in line]
+    assert scans and all("Bucketed: true" in line for line in scans)
+
+
+def test_texts_of_ids_with_several_texts_and_without_words(spark):
+    rows = [(1, " "), (2, None), (3, A + "  "), (3, A), (4, " " + A), (5, B), (5, C), (6, C), (7, B), (None, A)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in dedup.classes(docs).collect())
+    of_five = min((B, 7), (C, 6), key=lambda p: __import__("hashlib").sha256(p[0].encode()).hexdigest())[1]
+    classes = {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7} | {of_five: 5}
+    assert got == sorted(classes.items())
