@@ -39,6 +39,8 @@ TRAIN_ROWS, LIMIT_SHARE = 4000, 4
 #: Training sentences, at most, of each label, and words of a sentence (longer ones are cut into several).
 TRAIN_SENTENCES, SENTENCE_WORDS = 12_000, 40
 ROUNDS = 3
+#: Words whose kernel values are added up together.
+WORDS_AT_ONCE = 128
 _INNER = re.compile(r"[\W\d_]+")
 # A mark ends a sentence only before a space: letters with a mark after each (i.d.i.o.t) are one word.
 _ENDS = re.compile(r"[.!?]+\s+|\n+")
@@ -47,10 +49,12 @@ _known: dict[int, dict[str, float]] = {}
 
 def words_of(sentence: str) -> list[str]:
     """Lower-case words without inner marks; letters standing alone in a row form one word."""
+    found = [token if token.isalpha() else _INNER.sub("", token) for token in sentence.lower().split()]
+    if 1 not in map(len, found):
+        return [word for word in found if len(word) > 2]
     out: list[str] = []
     single: list[str] = []
-    for token in sentence.lower().split():
-        word = token if token.isalpha() else _INNER.sub("", token)
+    for word in found:
         if len(word) == 1:
             single.append(word)
             continue
@@ -71,7 +75,10 @@ def sentences(text: str | None) -> list[list[str]]:
     for part in _ENDS.split(text or ""):
         words = words_of(part)
         for i in range(0, len(words), SENTENCE_WORDS):
-            out.append(sorted({p for w in words[i : i + SENTENCE_WORDS] for p in pieces(w)}))
+            some = words[i : i + SENTENCE_WORDS]
+            if max(map(len, some)) > WIDTH:
+                some = [p for w in some for p in pieces(w)]
+            out.append(sorted(set(some)))
     return out
 
 
@@ -121,12 +128,28 @@ class Landmarks:
         sums = np.bincount(at, weights=weights.ravel()[used])
         row, bucket = keys >> BITS, keys & ((1 << BITS) - 1)
         norm = np.sqrt(np.maximum(np.bincount(row, weights=sums**2, minlength=len(words)), 1e-12))
+        size, out = len(self.words), np.empty((len(words), len(self.words)))
         width = self.first[bucket + 1] - self.first[bucket]
-        place = np.repeat(self.first[bucket] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-        value = np.repeat(sums, width) * self.weight[place]
-        size = len(self.words)
-        out = np.bincount(np.repeat(row, width) * size + self.owner[place], weights=value, minlength=len(words) * size)
-        return (out.reshape(len(words), size) / norm[:, None] / self.norm) ** POWER
+        start = self.first[bucket].astype(np.int64)
+        # A few words at a time: what is spread out then stays in the processor's cache.
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            n = min(WORDS_AT_ONCE, len(words) - i)
+            a, b = np.searchsorted(row, [i, i + n])
+            of = width[a:b]
+            place = np.repeat(start[a:b] - (np.cumsum(of) - of), of)
+            place += np.arange(len(place))
+            value = np.repeat(sums[a:b], of)
+            value *= self.weight[place]
+            at = np.repeat((row[a:b] - i) * size, of)
+            at += self.owner[place]
+            part = np.bincount(at, weights=value, minlength=n * size).reshape(n, size)
+            part /= norm[i : i + n, None]
+            part /= self.norm
+            # Few words share subsequences with a landmark, and powers are dear.
+            alike = part != 0
+            part[alike] = part[alike] ** POWER
+            out[i : i + n] = part
+        return out
 
 
 def choose_landmarks(rows: list[list[str]], y: np.ndarray) -> list[str]:
@@ -213,10 +236,10 @@ def fit_svm(x: np.ndarray, y: np.ndarray, used: np.ndarray) -> np.ndarray:
 def text_margins(texts, index: Landmarks, alpha: np.ndarray, bias: float, known: dict[str, float]) -> list[float]:
     """Largest sentence margin of each text, -3 without words. ``known`` remembers the weights of words."""
     found = [sentences(t) for t in texts]
-    new = {w for rows in found for words in rows for w in words}.difference(known)
+    new = set().union(*(words for rows in found for words in rows)).difference(known)
     if len(known) + len(new) > 400_000:
         known.clear()
-        new = {w for rows in found for words in rows for w in words}
+        new = set().union(*(words for rows in found for words in rows))
     new = sorted(new)
     known.update(zip(new, word_weights(new, index, alpha).tolist()))
     weight = known.__getitem__
