@@ -112,35 +112,34 @@ def term_numbers(words: bytes) -> dict[bytes, dict[bytes, int]]:
 
 
 def group_counts(docs: DataFrame, words: bytes, part: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, no, n): counts of one part's terms per group, and (no, tag, term) of its terms."""
+    """(place, no, n): counts of one part's terms per group, and (no, tag, term) of its terms."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(words)
     base = part << 32
 
     def add_up(batches):
         number = term_numbers(shared.value)
-        # Per group a sparse vector: number of a term to its count.
-        vectors: dict[tuple[str, str], Counter] = {}
+        # Per group a sparse vector: number of a term to its count; None counts the terms that are not kept.
+        vectors: dict[int, Counter] = {}
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("lang", "source", "tag", "data"))
-            for lang, source, tag, data in zip(*columns):
-                get = number.get(tag, {}).get
-                vector = vectors.setdefault((lang, source), Counter())
-                vector.update([i for i in map(get, terms(data, _TABLE)) if i is not None])
+            columns = (batch.column(c).to_pylist() for c in ("place", "tag", "data"))
+            for place, tag, data in zip(*columns):
+                vector = vectors.get(place)
+                if vector is None:
+                    vector = vectors[place] = Counter()
+                vector.update(map(number.get(tag, {}).get, terms(data, _TABLE)))
             if sum(map(len, vectors.values())) > COUNTS_AT_ONCE:
                 yield from out(vectors)
                 vectors = {}
         yield from out(vectors)
 
     def out(vectors):
-        for (lang, source), vector in vectors.items():
+        for place, vector in vectors.items():
+            vector.pop(None, None)
             for i in range(0, len(vector), 100_000):
                 no = np.fromiter(islice(vector, i, i + 100_000), dtype=np.int64) + base
                 n = np.fromiter(islice(vector.values(), i, i + 100_000), dtype=np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "lang": pa.array([lang] * len(no), pa.string()), "source": pa.array([source] * len(no), pa.string()),
-                    "no": no, "n": n,
-                })
+                yield pa.RecordBatch.from_pydict({"place": np.full(len(no), place, dtype=np.int64), "no": no, "n": n})
 
     def name(batches):
         for _ in batches:
@@ -150,8 +149,9 @@ def group_counts(docs: DataFrame, words: bytes, part: int) -> tuple[DataFrame, D
                 tags, found = (pa.array([w[k] for w in words], pa.binary()).cast(pa.string()) for k in (0, 2))
                 yield pa.RecordBatch.from_pydict({"no": np.arange(i, i + len(words)) + base, "tag": tags, "term": found})
 
-    sums = docs.mapInArrow(add_up, "lang string, source string, no long, n long")
-    return sums.groupBy("lang", "source", "no").agg(F.sum("n").alias("n")), spark.range(1, numPartitions=1).mapInArrow(
+    # A task hands on a group's term once, so adding up before the shuffle would find nothing to add.
+    sums = docs.select("place", "tag", "data").mapInArrow(add_up, "place long, no long, n long").repartition("no")
+    return sums.groupBy("place", "no").agg(F.sum("n").alias("n")), spark.range(1, numPartitions=1).mapInArrow(
         name, "no long, tag string, term string"
     )
 
@@ -228,25 +228,29 @@ def audit(docs: DataFrame) -> DataFrame:
         text["lang"].alias("lang"), text["source"].alias("source"), text["text"].cast("binary").alias("data"),
         F.concat(F.hex(text["lang"].cast("binary")), F.lit(":")).cast("binary").alias("tag"),
     )
+    # One row per source of a language.
+    numbered = docs.select("lang", "source").distinct().withColumn(
+        "place", (F.row_number().over(Window.orderBy("lang", "source")) - 1).cast("long")
+    )
+    numbered = write_and_reload(numbered, "divergence-places")
+    placed = docs.join(numbered, ["lang", "source"])
     rows = write_and_reload(term_rows(docs), "divergence-rows")
     parts = n_models(rows)
     sums = names = None
     for part in range(parts):
-        counts, named = group_counts(docs, vocabulary(rows, parts, part), part)
+        counts, named = group_counts(placed, vocabulary(rows, parts, part), part)
         # Each part is written before the next one takes its memory.
         counts, named = write_and_reload(counts, "divergence-counts"), write_and_reload(named, "divergence-terms")
         sums, names = (sums.unionByName(counts), names.unionByName(named)) if part else (counts, named)
 
-    totals = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = sums.groupBy("place").agg(F.sum("n").alias("total"))
     sizes = names.groupBy(F.unhex("tag").cast("string").alias("lang")).agg(F.count("*").alias("v"))
-    groups = docs.select("lang", "source").distinct().join(sizes, "lang", "left").join(totals, ["lang", "source"], "left")
+    groups = numbered.join(sizes, "lang", "left").join(totals, "place", "left")
     groups = groups.select(
-        "lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"),
-        # One row per source of a language.
-        (F.row_number().over(Window.orderBy("lang", "source")) - 1).cast("long").alias("place"),
+        "lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"), "place"
     )
     groups = write_and_reload(groups.withColumn("z", F.expr(f"if(v > 0, {p_value('0', 'total')}, 1)")), "divergence-groups")
-    held = sums.join(groups, ["lang", "source"]).select("no", "place", "n", F.expr(p_value("n", "total")).alias("p"), "z")
+    held = sums.join(groups, "place").select("no", "place", "n", F.expr(p_value("n", "total")).alias("p"), "z")
     held = write_and_reload(held, "divergence-held")
     return pairs(held, groups).unionByName(top_terms(held, names, groups))
 
