@@ -138,11 +138,11 @@ class Landmarks:
             of = width[a:b]
             place = np.repeat(start[a:b] - (np.cumsum(of) - of), of)
             place += np.arange(len(place))
-            value = np.repeat(sums[a:b], of)
-            value *= self.weight[place]
+            value = np.repeat(sums[a:b], of) * self.weight[place]
             at = np.repeat((row[a:b] - i) * size, of)
             at += self.owner[place]
-            part = np.bincount(at, weights=value, minlength=n * size).reshape(n, size)
+            # Without entries numpy counts in whole numbers.
+            part = np.bincount(at, weights=value, minlength=n * size).astype(np.float64, copy=False).reshape(n, size)
             part /= norm[i : i + n, None]
             part /= self.norm
             # Few words share subsequences with a landmark, and powers are dear.

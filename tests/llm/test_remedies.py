@@ -79,3 +79,24 @@ def test_toxicity_on_held_out_rows(spark, labelled):
     score = [r.toxic_score for r in toxicity.score(frame, model).orderBy("doc_id").collect()]
     assert all(s >= 0.5 for s in (score[1], score[2], score[3], score[6]))
     assert all(s < 0.5 for s in (score[0], score[4], score[5]))
+
+
+def test_group_counts_are_added_up_once_per_group_number(spark):
+    from lapsewise.llm import divergence
+
+    rows = [(0, bytearray(b"65:"), bytearray(b"One two two")), (1, bytearray(b"65:"), bytearray(b"two x")), (0, bytearray(b"66:"), bytearray(b"one"))]
+    docs = spark.createDataFrame(rows, "place long, tag binary, data binary").repartition(3)
+    counts, _ = divergence.group_counts(docs, b"65:one\n65:two\n66:none", 0)
+    assert sorted(map(tuple, counts.select("place", "no", "n").collect())) == [(0, 0, 1), (0, 1, 2), (1, 1, 1)]
+
+
+def test_kernel_values_do_not_depend_on_the_words_beside():
+    import numpy as np
+
+    from lapsewise.llm import toxicity
+
+    words = [f"{a}{b}word{a}" for a in "abcdefghij" for b in "klmnopqrstuvwxyz"] + ["zzz"]
+    index = toxicity.Landmarks(["wordless", "swordfish", "abide"])
+    whole = index.kernel(words)
+    assert len(words) > toxicity.WORDS_AT_ONCE and whole.shape == (161, 3)
+    assert np.array_equal(whole, np.vstack([index.kernel([w]) for w in words]))
