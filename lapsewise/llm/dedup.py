@@ -9,7 +9,8 @@ and a process stops once it is later than all registers of its text.
 
 Equal word sequences are grouped first. Texts that share a band are compared with
 one leader per band, then components that still share a band are compared in full, so no candidate
-is lost. Texts
+is lost. A pair's items are moved only if the parities of its shingles, a few hundred bytes, leave it
+open whether the texts are alike. Texts
 without words (null, empty) stand alone. Repeated rows fall into one class; the class is its
 smallest doc_id. Rows with a null doc_id take no part; of
 several texts with one doc_id the one with the smallest digest counts. An empty table gives an empty result.
@@ -30,6 +31,8 @@ from lapsewise.storage import write_and_reload, write_bucketed
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
+#: Longs that hold the parities of a text's items.
+PARITY_LONGS = 32
 #: Parts over which the rows of one key are dealt.
 SALTS = 16
 #: Edges of one text that go to one task.
@@ -112,17 +115,49 @@ def items(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return mix(np.repeat(values, weights) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
 
 
+def parities(found: np.ndarray) -> np.ndarray:
+    """Number of items, then for each of ``64 * PARITY_LONGS`` cells whether it holds an odd number of them."""
+    cells = np.bincount((found.view(np.uint64) >> np.uint64(32)).astype(np.int64) % (64 * PARITY_LONGS), minlength=64 * PARITY_LONGS)
+    bits = np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+    return np.concatenate([[len(found)], bits]).astype(np.int64)
+
+
+def most_alike(a: Column, b: Column) -> Column:
+    """No less than the similarity of two texts: cells of different parity hold an item of one of them alone."""
+    sizes = a[0] + b[0]
+    apart = F.aggregate(
+        F.zip_with(F.slice(a, 2, PARITY_LONGS), F.slice(b, 2, PARITY_LONGS), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+        F.lit(0), lambda n, one: n + one,
+    )
+    common = F.least(F.floor((sizes - apart) / 2), a[0], b[0])
+    return common / (sizes - common)
+
+
+def _bags(texts) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [np.unique(shingle_hashes(t), return_counts=True) for t in texts]
+
+
 def _sketched(batches):
+    """Bands and parities of every row; none of a text without words. Equal texts of a batch are sketched once."""
     for batch in batches:
         for i in range(0, len(batch), 512):
             part = batch.iloc[i : i + 512]
-            bags = [np.unique(shingle_hashes(t), return_counts=True) for t in part["text"]]
+            texts = dict(zip(part["digest"], part["text"].fillna("")))
+            bags = {d: bag for d, bag in zip(texts, _bags(texts.values())) if len(bag[0])}
+            bands = dict(zip(bags, band_hashes(signatures(list(bags.values()))))) if bags else {}
+            parity = {d: parities(items(v, w)) for d, (v, w) in bags.items()}
             yield pd.DataFrame({
-                "rep": part["rep"].to_numpy(), "bands": list(band_hashes(signatures(bags))),
-                "items": [items(v, w) for v, w in bags],
+                "id": part["id"].to_numpy(), "digest": part["digest"].to_numpy(),
+                "bands": [bands.get(d) for d in part["digest"]], "parities": [parity.get(d) for d in part["digest"]],
             })
 
 
+def _itemized(batches):
+    for batch in batches:
+        found = [items(v, w) for v, w in _bags(batch["text"])]
+        yield pd.DataFrame({"rep": batch["rep"].to_numpy(), "items": found})
+
+
 def _spread_join(rows: DataFrame, lookup: DataFrame, on: list[str], by: str, how: str = "inner") -> DataFrame:
     """Join with a narrow table that has one row per key; one key's rows are dealt over ``SALTS`` parts."""
     spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -134,12 +169,16 @@ def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """Pairs of each bucket's smallest text with the rest; mostly the same leader in all bands."""
+def _shared(buckets: DataFrame) -> DataFrame:
+    """Bucket rows of the buckets that hold several texts, with the smallest of them."""
     lead = buckets.groupBy("band", "hash").agg(F.min("rep").alias("lead"), F.max("rep").alias("_last"))
     lead = lead.where("lead < _last").drop("_last")
-    joined = _spread_join(buckets, lead, ["band", "hash"], "rep").where("rep <> lead")
-    return joined.select(*_pairs("rep", "lead")).distinct()
+    return write_and_reload(_spread_join(buckets, lead, ["band", "hash"], "rep"), "dedup-buckets")
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    """Pairs of each bucket's smallest text with the rest; mostly the same leader in all bands."""
+    return shared.where("rep <> lead").select(*_pairs("rep", "lead")).distinct()
 
 
 def _open_stars(placed: DataFrame) -> DataFrame:
@@ -192,6 +231,13 @@ def verified(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return both.where(similarity(F.col("a_items"), F.col("b_items")) >= least).select("a", "b")
 
 
+def _near(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The pairs that may be alike by their parities."""
+    held = sketches.select("rep", F.col("parities").alias("items"))
+    both = _with_items(_with_items(pairs, "a", held), "b", held)
+    return write_and_reload(both.where(most_alike(F.col("a_items"), F.col("b_items")) >= least).select("a", "b"), "dedup-near")
+
+
 def components(edges: DataFrame, name: str = "dedup-components") -> DataFrame:
     """(node, comp) of the nodes in ``edges`` (a < b): every node hangs on its smallest neighbour, then
     larger and smaller neighbours are relinked in turn until nothing moves; each round is written."""
@@ -230,27 +276,37 @@ def digest(key: Column, text: Column) -> Column:
 def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id) of every row with a key."""
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    marked = write_and_reload(docs.select("id", digest(F.col("id"), F.col("text")).alias("digest")), "dedup-digests")
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    marked = docs.select("id", digest(F.col("id"), F.col("text")).alias("digest"), "text")
+    marked = write_and_reload(
+        marked.mapInPandas(_sketched, "id long, digest string, bands array<long>, parities array<long>"), "dedup-digests"
+    )
     # One digest per id, then one id per digest: a representative stands for one text only.
     counted = marked.groupBy("id").agg(F.min("digest").alias("digest"), (F.min("digest") < F.max("digest")).alias("several"))
     reps = counted.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("several", "id").alias("several"))
     members = write_and_reload(_spread_join(counted.select("id", "digest"), reps.select("digest", "rep"), ["digest"], "id").select("id", "rep"), "dedup-members")
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    # Only an id with several texts needs its digests once more to tell which one is meant.
     texts = reps.where("digest not like 'id %'").withColumnRenamed("digest", "counted")
-    meant = F.when(F.col("several"), digest(F.col("id"), F.col("text")) == F.col("counted")).otherwise(True)
-    kept = docs.join(texts, docs["id"] == texts["rep"]).where(meant).dropDuplicates(["rep"]).select("rep", "text")
-    sketches = write_bucketed(
-        kept.mapInPandas(_sketched, "rep long, bands array<long>, items array<long>"), "dedup-sketches", "rep"
-    )
-    buckets = sketches.select("rep", F.posexplode("bands").alias("band", "hash"))
-    edges = write_and_reload(verified(_stars(buckets), sketches, least), "dedup-edges")
+    kept = marked.join(texts, marked["id"] == texts["rep"]).where("digest = counted").dropDuplicates(["rep"])
+    # Only an id with several texts needs its digests once more to tell which one is meant.
+    meant = F.when(F.col("several"), F.col("digest")).alias("counted")
+    sketches = write_bucketed(kept.select("rep", "bands", "parities", meant), "dedup-sketches", "rep")
+    buckets = _shared(sketches.select("rep", F.posexplode("bands").alias("band", "hash")))
+    held = _items_of(docs, sketches.select("rep", "counted").join(buckets.select("rep").distinct(), "rep"))
+    edges = write_and_reload(verified(_near(_stars(buckets), sketches, least), held, least), "dedup-edges")
     comps = components(edges)
     for further in (_open_stars, _all_open):
-        pairs = further(_still_open(buckets, comps))
-        found = write_and_reload(verified(pairs, sketches, least), "dedup-edges")
+        pairs = further(_still_open(buckets.drop("lead"), comps))
+        found = write_and_reload(verified(_near(pairs, sketches, least), held, least), "dedup-edges")
         if not found.isEmpty():
             edges = edges.union(found)
             comps = components(edges)
     out = _spread_join(members, comps.withColumnRenamed("node", "rep"), ["rep"], "id", "left")
     return out.select(F.col("id").alias(key), F.coalesce("comp", "rep").alias("class_id"))
+
+
+def _items_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep, items) of the texts that share a bucket with another, one row each."""
+    reps = write_and_reload(reps, "dedup-compared")
+    meant = F.col("counted").isNull() | (digest(F.col("id"), F.col("text")) == F.col("counted"))
+    texts = docs.join(reps, docs["id"] == reps["rep"]).where(meant).dropDuplicates(["rep"]).select("rep", "text")
+    return write_bucketed(texts.mapInPandas(_itemized, "rep long, items array<long>"), "dedup-items", "rep")

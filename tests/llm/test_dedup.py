@@ -1,5 +1,8 @@
 """Ids that stand on rows with different texts."""
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lapsewise.llm import dedup
 
@@ -44,3 +47,36 @@ def test_texts_of_ids_with_several_texts_and_without_words(spark):
     of_five = min((B, 7), (C, 6), key=lambda p: __import__("hashlib").sha256(p[0].encode()).hexdigest())[1]
     classes = {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6, 7: 7} | {of_five: 5}
     assert got == sorted(classes.items())
+
+
+def test_items_move_only_for_pairs_that_may_be_alike(spark, monkeypatch):
+    # Ten pairs of texts that share about 60 % of their shingles, so that most share a band, and one pair alike.
+    texts = {}
+    for n in range(10):
+        words = [f"w{n}x{i}" for i in range(400)]
+        texts[2 * n], texts[2 * n + 1] = words, words[:300] + [f"z{n}x{i}" for i in range(100)]
+    texts[100], texts[101] = (words := [f"v{i}" for i in range(400)]), [*words[:390], *"abcdefghij"]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in texts.items()], "doc_id long, text string")
+    compared, verified = [], dedup.verified
+
+    def watched(pairs, *rest):
+        compared.extend(tuple(r) for r in pairs.select("a", "b").collect())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(dedup, "verified", watched)
+    classes = {r.doc_id: r.class_id for r in dedup.classes(docs).collect()}
+    assert compared == [(100, 101)]
+    assert classes == {i: i for i in texts} | {101: 100}
+
+
+def test_parities_never_tell_less_than_the_similarity(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for shared, a, b in [(0, 1, 1), (1, 0, 0), (40, 5, 5), (4000, 500, 500), (9000, 900, 1200), (5, 3000, 4), (300, 40, 60)]:
+        found = rng.integers(-(2**63), 2**63, shared + a + b)
+        left, right = found[: shared + a], np.concatenate([found[:shared], found[shared + a :]])
+        rows.append((shared / (shared + a + b), *(dedup.parities(side).tolist() for side in (left, right))))
+    frame = spark.createDataFrame(rows, "similarity double, a array<long>, b array<long>")
+    told = frame.select("similarity", dedup.most_alike(F.col("a"), F.col("b")).alias("most")).collect()
+    assert all(r.most >= r.similarity for r in told)
+    assert told[0].most < 0.1 and told[1].most == 1.0 and told[6].most < 0.8
