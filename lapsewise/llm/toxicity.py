@@ -41,6 +41,8 @@ TRAIN_SENTENCES, SENTENCE_WORDS = 12_000, 40
 ROUNDS = 3
 #: Words whose kernel values are added up together.
 WORDS_AT_ONCE = 128
+#: Places of words in sentences whose vectors are added up together.
+PLACES_AT_ONCE = 4096
 _INNER = re.compile(r"[\W\d_]+")
 # A mark ends a sentence only before a space: letters with a mark after each (i.d.i.o.t) are one word.
 _ENDS = re.compile(r"[.!?]+\s+|\n+")
@@ -197,11 +199,15 @@ def fit_sentences(rows: list[list[str]], y: np.ndarray, text: np.ndarray) -> tup
     for i in range(0, len(every), 2048):
         part = (index.kernel(every[i : i + 2048]) @ root).astype(np.float32)
         a, b = np.searchsorted(flat, [i, i + 2048])
-        np.add.at(x, owner[a:b], part[flat[a:b] - i])
+        # The commonest words come first and stand in most sentences: their rows are added a few at a time.
+        for j in range(a, b, PLACES_AT_ONCE):
+            k = min(j + PLACES_AT_ONCE, b)
+            np.add.at(x, owner[j:k], part[flat[j:k] - i])
     used = np.ones(len(rows), dtype=bool)
     for _ in range(ROUNDS):
         w = fit_svm(x, y, used)
-        margin = x @ w[:-1] + w[-1]
+        # A part at a time: numpy copies what it multiplies into doubles.
+        margin = np.concatenate([x[i : i + 2048] @ w[:-1] for i in range(0, len(x), 2048)]) + w[-1]
         worst = np.full(int(text.max(initial=0)) + 1, -np.inf)
         np.maximum.at(worst, text[y > 0], margin[y > 0])
         used = (y < 0) | (margin > 0) | (margin >= worst[text])

@@ -1,6 +1,7 @@
 """Mixing does not depend on its pieces, digests equal encoding and decoding, toxicity finds disguised insults."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -100,3 +101,19 @@ def test_kernel_values_do_not_depend_on_the_words_beside():
     whole = index.kernel(words)
     assert len(words) > toxicity.WORDS_AT_ONCE and whole.shape == (161, 3)
     assert np.array_equal(whole, np.vstack([index.kernel([w]) for w in words]))
+
+
+def test_the_fit_of_sentences_holds_little_beside_its_vectors():
+    rng = np.random.default_rng(2)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(rng.choice(letters, 7)) for _ in range(1500)]
+    rows = [sorted(set(rng.choice(words, 30))) for _ in range(6000)]
+    y = np.where(np.arange(6000) % 2, 1.0, -1.0)
+    tracemalloc.start()
+    try:
+        chosen, _, _ = toxicity.fit_sentences(rows, y, np.arange(6000))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # The vectors take 4 bytes for each sentence and landmark; kernels of a part of the words come on top.
+    assert peak < 4 * len(rows) * len(chosen) * 4 + 60e6
