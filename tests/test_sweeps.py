@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapsewise.operators.cleaning import clean
-from lapsewise.plans import features, modelling
+from lapsewise.plans import catalog, features, modelling
 from lapsewise.plans.job_table import JobTable
 from lapsewise.plans.modelling import Training
 from lapsewise.sources import activity_log
@@ -91,3 +91,30 @@ def test_settings_of_the_same_model_are_fitted_once(table, spark, monkeypatch):
     training = Training(folds=2, tune=True, params={"LogisticRegression": {"maxIter": 2}})
     averages = modelling.train("LogisticRegression", frame, KEPT[:2], training).avg_metrics
     assert len(averages) == 9 and averages[0] == averages[1] == averages[2] and len(fits) == 28
+
+
+def test_scores_of_grid_points_need_no_last_fit(spark, table, monkeypatch):
+    training = Training(kinds=["LogisticRegression", "DecisionTreeClassifier"], folds=2, tune=True, seed=1, params={"LogisticRegression": {"maxIter": 2}})
+    done = modelling.train_and_evaluate(table, KEPT, 2, training)
+    expected = [(m.kind, modelling.setting_as_text(p), a) for m in done.models for p, a in zip(m.grid, m.avg_metrics)]
+
+    def unwanted(*_):
+        raise AssertionError("a fit on all rows or a metric row")
+
+    for name in ("final_fit", "metric_row"):
+        monkeypatch.setattr(modelling, name, unwanted)
+    monkeypatch.setattr(catalog, "written_features", lambda *_: table)
+    monkeypatch.setattr(catalog, "candidates", lambda _: KEPT)
+    assert [tuple(r) for r in modelling.grid_scores(table, KEPT, 2, training).collect()] == expected
+    assert [r.model for r in catalog.cv_metrics(spark, "").collect()] == ["LogisticRegression"]
+
+
+def test_forests_remember_nodes_and_grow_the_same_trees(spark, table):
+    prepared = modelling.prepare(modelling.model_frame(table, KEPT, True), KEPT, Training(folds=2))
+    trees = []
+    for params in ({}, {"cacheNodeIds": False}):
+        est = modelling.classifier("RandomForestClassifier", maxDepth=15, numTrees=5, **params)
+        assert est.getCacheNodeIds() == (not params)
+        trees.append(est.fit(prepared.fitted(None)).toDebugString.split("\n", 1)[1])
+    prepared.close()
+    assert trees[0] == trees[1]
