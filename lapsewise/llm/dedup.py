@@ -9,7 +9,7 @@ and a process stops once it is later than all registers of its text.
 
 Equal word sequences are grouped first. Texts that share a band are compared with
 one leader per band, then components that still share a band are compared in full, so no candidate
-is lost. A pair's items are moved only if the parities of its shingles, a few hundred bytes, leave it
+is lost; in large buckets by their parities, block by block, without a row per pair. A pair's items are moved only if the parities of its shingles, a few hundred bytes, leave it
 open whether the texts are alike. Texts
 without words (null, empty) stand alone. Repeated rows fall into one class; the class is its
 smallest doc_id. Rows with a null doc_id take no part; of
@@ -37,6 +37,8 @@ PARITY_LONGS = 32
 SALTS = 16
 #: Edges of one text that go to one task.
 EDGES_PER_PART = 512
+#: Texts of a bucket, at most, that are joined with each other; those of a larger one are compared in blocks of this size.
+JOINED, BLOCK = 32, 2048
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -181,28 +183,72 @@ def _stars(shared: DataFrame) -> DataFrame:
     return shared.where("rep <> lead").select(*_pairs("rep", "lead")).distinct()
 
 
-def _open_stars(placed: DataFrame) -> DataFrame:
-    """Pairs of another leader, different in each band, with the texts of other components."""
+def _near_stars(placed: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Pairs of another leader, different in each band, with the texts of other components, that may be alike."""
     lead = placed.groupBy("band", "hash").agg(
         F.min_by(F.struct("rep", "comp"), F.xxhash64("band", "rep")).alias("lead")
     )
     joined = _spread_join(placed, lead, ["band", "hash"], "rep").where("comp <> lead.comp")
-    return joined.select("rep", F.col("lead.rep").alias("lead")).select(*_pairs("rep", "lead")).distinct()
-
+    pairs = joined.select("rep", F.col("lead.rep").alias("lead")).select(*_pairs("rep", "lead")).distinct()
+    return _near(pairs, sketches, least)
+
+
+def _near_open(placed: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """All pairs of different components, within the buckets that still hold several, that may be alike by their parities."""
+    some = placed.where(F.col("texts") <= JOINED)
+    other = some.select("band", "hash", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"))
+    joined = some.join(other, ["band", "hash"]).where("rep < rep2 and comp <> comp2")
+    pairs = joined.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    many = write_and_reload(_near_in_blocks(placed.where(F.col("texts") > JOINED), sketches, least), "dedup-near")
+    return _near(pairs, sketches, least).union(many).distinct()
+
+
+def _near_in_blocks(placed: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Those pairs of large buckets: two blocks of texts at a time meet in one task, so that pairs become rows only
+    if they may be alike."""
+    blocks = F.ceil(F.col("texts") / BLOCK).cast("int")
+    held = placed.join(sketches.select("rep", "parities"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    dealt = held.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "band", "hash", "rep", "comp", "block", "parities",
+        F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"),
+    )
 
-def _all_open(placed: DataFrame) -> DataFrame:
-    """All pairs of different components within the buckets that still hold several of them."""
-    other = placed.select("band", "hash", F.col("rep").alias("rep2"), F.col("comp").alias("comp2"))
-    joined = placed.join(other, ["band", "hash"]).where("rep < rep2 and comp <> comp2")
-    return joined.select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        return near_pairs(cell, least)
+
+    return dealt.groupBy("band", "hash", "low", "high").applyInPandas(compare, "a long, b long").distinct()
+
+
+def near_pairs(cell: pd.DataFrame, least: float) -> pd.DataFrame:
+    """The pairs of different components, of one block or between two, whose ``most_alike`` is large enough."""
+    cell = cell.sort_values(["block", "comp"])
+    rep, comp, block = (cell[c].to_numpy() for c in ("rep", "comp", "block"))
+    held = np.stack(cell["parities"].to_numpy())
+    n, bits = held[:, 0].copy(), held[:, 1:].copy().view(np.uint64)
+    # Within a block the components after one's own, otherwise the other block.
+    first = np.searchsorted(block, block, side="right")
+    if len(block) and block[0] == block[-1]:
+        first = np.searchsorted(comp, comp, side="right")
+    a, b = [], []
+    for i in np.flatnonzero(first < len(rep)):
+        j = first[i]
+        sizes = n[i] + n[j:]
+        apart = np.bitwise_count(bits[j:] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        common = np.minimum(np.minimum((sizes - apart) // 2, n[j:]), n[i])
+        found = rep[j:][(common / (sizes - common) >= least) & (comp[j:] != comp[i])]
+        a.append(np.minimum(found, rep[i])), b.append(np.maximum(found, rep[i]))
+    none = np.zeros(0, dtype=np.int64)
+    return pd.DataFrame({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
 
 
 def _still_open(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """Bucket rows of the buckets that hold texts of several components."""
+    """Bucket rows of the buckets that hold texts of several components, with the bucket's number of texts."""
     placed = buckets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "rep", "band", "hash", F.coalesce("comp", "rep").alias("comp")
     )
-    several = placed.groupBy("band", "hash").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"))
+    several = placed.groupBy("band", "hash").agg(
+        F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.count("*").alias("texts")
+    )
     several = several.where("_x <> _y").drop("_x", "_y")
     return write_and_reload(_spread_join(placed, several, ["band", "hash"], "rep"), "dedup-open")
 
@@ -294,9 +340,9 @@ def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
     held = _items_of(docs, sketches.select("rep", "counted").join(buckets.select("rep").distinct(), "rep"))
     edges = write_and_reload(verified(_near(_stars(buckets), sketches, least), held, least), "dedup-edges")
     comps = components(edges)
-    for further in (_open_stars, _all_open):
-        pairs = further(_still_open(buckets.drop("lead"), comps))
-        found = write_and_reload(verified(_near(pairs, sketches, least), held, least), "dedup-edges")
+    for further in (_near_stars, _near_open):
+        near = further(_still_open(buckets.drop("lead"), comps), sketches, least)
+        found = write_and_reload(verified(near, held, least), "dedup-edges")
         if not found.isEmpty():
             edges = edges.union(found)
             comps = components(edges)

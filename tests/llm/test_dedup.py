@@ -80,3 +80,26 @@ def test_parities_never_tell_less_than_the_similarity(spark):
     told = frame.select("similarity", dedup.most_alike(F.col("a"), F.col("b")).alias("most")).collect()
     assert all(r.most >= r.similarity for r in told)
     assert told[0].most < 0.1 and told[1].most == 1.0 and told[6].most < 0.8
+
+
+def test_large_buckets_make_no_row_per_pair_and_lose_none(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "JOINED", 4)
+    monkeypatch.setattr(dedup, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    base = rng.integers(-(2**63), 2**63, 900)
+    # Texts that share most of one base with each other; components of one to three texts.
+    own = {i: i % 9 * 15 for i in range(70)}
+    held = {i: dedup.parities(np.concatenate([base[: 900 - n], rng.integers(-(2**63), 2**63, n)])) for i, n in own.items()}
+    comps = {i: i - i % (1 + i % 3) for i in held}
+    placed = [(i, 0, h, comps[i], n) for h, n, ids in ((7, 70, range(70)), (8, 4, range(4)), (9, 5, range(60, 65))) for i in ids]
+    placed = spark.createDataFrame(placed, "rep long, band int, hash long, comp long, texts long")
+    sketches = spark.createDataFrame([(i, p.tolist()) for i, p in held.items()], "rep long, parities array<long>")
+    near = dedup._near_open(placed, sketches, 0.8)
+    pair = sketches.alias("x").crossJoin(sketches.alias("y")).where("x.rep < y.rep")
+    alike = pair.where(dedup.most_alike(F.col("x.parities"), F.col("y.parities")) >= 0.8).select("x.rep", "y.rep").collect()
+    found = [tuple(r) for r in near.collect()]
+    assert sorted(found) == sorted((a, b) for a, b in alike if comps[a] != comps[b])
+    assert 100 < len(found) < 70 * 69 // 2
+    counted = spark.createDataFrame([(i, 0, 7, i, 70) for i in range(70)], "rep long, band int, hash long, comp long, texts long")
+    plan = dedup._near_in_blocks(counted, sketches, 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Join" in line and "comp" in line for line in plan.split("\n"))
