@@ -27,14 +27,16 @@ ordered by item. Other columns are not read. Texts of any length are taken whole
 from __future__ import annotations
 
 from collections import Counter
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapsewise.llm import common
 from lapsewise.llm.terms import byte_table, terms
 from lapsewise.storage import new_path, write_and_reload
 
@@ -42,7 +44,7 @@ MIN_DOCS, TOP_TERMS = 3, 200
 #: Terms per model, about; the slice of all terms that the estimate counts.
 MODEL_TERMS, SLICE = 1_500_000, 64
 #: Terms or counts that a task holds before it hands them on, terms per row it writes, pairs it adds up.
-TERMS_AT_ONCE, TERMS_A_ROW, COUNTS_AT_ONCE, PAIRS_AT_ONCE = 800_000, 20_000, 1_000_000, 1_000_000
+TERMS_AT_ONCE, TERMS_A_ROW, COUNTS_AT_ONCE, PAIRS_AT_ONCE = 400_000, 20_000, 400_000, 1_000_000
 _TABLE = byte_table(digits=False)
 _NONE = np.zeros(0, dtype=np.int64)
 
@@ -96,19 +98,16 @@ def vocabulary(rows: DataFrame, parts: int, part: int) -> bytes:
     return bytes(saved.select(joined).first()[0])
 
 
-_numbers: dict[int, dict[bytes, dict[bytes, int]]] = {}
+_lines: dict[int, pa.Array] = {}
 
 
-def term_numbers(words: bytes) -> dict[bytes, dict[bytes, int]]:
-    """Number of each term by tag; a worker keeps those of the last vocabulary."""
+def term_lines(words: bytes) -> pa.Array:
+    """The terms of a vocabulary, in order; a worker keeps those of the last one."""
     key = hash(words)
-    if key not in _numbers:
-        _numbers.clear()
-        number = _numbers[key] = {}
-        for i, word in enumerate(words.split(b"\n") if words else []):
-            tag, _, term = word.partition(b":")
-            number.setdefault(tag + b":", {})[term] = i
-    return _numbers[key]
+    if key not in _lines:
+        _lines.clear()
+        _lines[key] = pa.array(words.split(b"\n") if words else [], pa.binary())
+    return _lines[key]
 
 
 def group_counts(docs: DataFrame, words: bytes, part: int) -> tuple[DataFrame, DataFrame]:
@@ -118,28 +117,30 @@ def group_counts(docs: DataFrame, words: bytes, part: int) -> tuple[DataFrame, D
     base = part << 32
 
     def add_up(batches):
-        number = term_numbers(shared.value)
-        # Per group a sparse vector: number of a term to its count; None counts the terms that are not kept.
-        vectors: dict[int, Counter] = {}
+        # Per group the counts of its terms, kept or not.
+        vectors: dict[tuple[int, bytes], Counter] = {}
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in ("place", "tag", "data"))
             for place, tag, data in zip(*columns):
-                vector = vectors.get(place)
+                vector = vectors.get((place, tag))
                 if vector is None:
-                    vector = vectors[place] = Counter()
-                vector.update(map(number.get(tag, {}).get, terms(data, _TABLE)))
+                    vector = vectors[place, tag] = Counter()
+                vector.update(terms(data, _TABLE))
             if sum(map(len, vectors.values())) > COUNTS_AT_ONCE:
-                yield from out(vectors)
+                yield out(vectors)
                 vectors = {}
-        yield from out(vectors)
+        yield out(vectors)
 
     def out(vectors):
-        for place, vector in vectors.items():
-            vector.pop(None, None)
-            for i in range(0, len(vector), 100_000):
-                no = np.fromiter(islice(vector, i, i + 100_000), dtype=np.int64) + base
-                n = np.fromiter(islice(vector.values(), i, i + 100_000), dtype=np.int64)
-                yield pa.RecordBatch.from_pydict({"place": np.full(len(no), place, dtype=np.int64), "no": no, "n": n})
+        """The counts of the kept terms; all terms are looked up at once."""
+        tagged = pa.array((tag + t for (_, tag), vector in vectors.items() for t in vector), pa.binary())
+        no = pc.index_in(tagged, value_set=term_lines(shared.value))
+        sizes = [len(vector) for vector in vectors.values()]
+        place = np.repeat(np.array([place for place, _ in vectors], dtype=np.int64), np.array(sizes, dtype=np.int64))
+        n = np.fromiter(chain.from_iterable(v.values() for v in vectors.values()), dtype=np.int64, count=sum(sizes))
+        kept = no.is_valid().to_numpy(zero_copy_only=False)
+        no = no.drop_null().to_numpy(zero_copy_only=False).astype(np.int64) + base
+        return pa.RecordBatch.from_pydict({"place": place[kept], "no": no, "n": n[kept]})
 
     def name(batches):
         for _ in batches:
@@ -223,6 +224,29 @@ def pair_sums(place: np.ndarray, p: np.ndarray, z: np.ndarray, starts: np.ndarra
 
 def audit(docs: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank) for parts ``pair`` and ``term``."""
+    spark, rows_a_batch = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows_a_batch)
+    # Batches of whole texts are small; those of the sums over pairs need not be.
+    common.small_batches(spark)
+    try:
+        sums, names, numbered = counted(docs)
+    finally:
+        spark.conf.set(rows_a_batch, before)
+
+    totals = sums.groupBy("place").agg(F.sum("n").alias("total"))
+    sizes = names.groupBy(F.unhex("tag").cast("string").alias("lang")).agg(F.count("*").alias("v"))
+    groups = numbered.join(sizes, "lang", "left").join(totals, "place", "left")
+    groups = groups.select(
+        "lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"), "place"
+    )
+    groups = write_and_reload(groups.withColumn("z", F.expr(f"if(v > 0, {p_value('0', 'total')}, 1)")), "divergence-groups")
+    held = sums.join(groups, "place").select("no", "place", "n", F.expr(p_value("n", "total")).alias("p"), "z")
+    held = write_and_reload(held, "divergence-held")
+    return pairs(held, groups).unionByName(top_terms(held, names, groups))
+
+
+def counted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(place, no, n), (no, tag, term) and (lang, source, place), all written."""
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text")}
     docs = docs.select(
         text["lang"].alias("lang"), text["source"].alias("source"), text["text"].cast("binary").alias("data"),
@@ -242,17 +266,7 @@ def audit(docs: DataFrame) -> DataFrame:
         # Each part is written before the next one takes its memory.
         counts, named = write_and_reload(counts, "divergence-counts"), write_and_reload(named, "divergence-terms")
         sums, names = (sums.unionByName(counts), names.unionByName(named)) if part else (counts, named)
-
-    totals = sums.groupBy("place").agg(F.sum("n").alias("total"))
-    sizes = names.groupBy(F.unhex("tag").cast("string").alias("lang")).agg(F.count("*").alias("v"))
-    groups = numbered.join(sizes, "lang", "left").join(totals, "place", "left")
-    groups = groups.select(
-        "lang", "source", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"), "place"
-    )
-    groups = write_and_reload(groups.withColumn("z", F.expr(f"if(v > 0, {p_value('0', 'total')}, 1)")), "divergence-groups")
-    held = sums.join(groups, "place").select("no", "place", "n", F.expr(p_value("n", "total")).alias("p"), "z")
-    held = write_and_reload(held, "divergence-held")
-    return pairs(held, groups).unionByName(top_terms(held, names, groups))
+    return sums, names, numbered
 
 
 def pairs(held: DataFrame, groups: DataFrame) -> DataFrame:

@@ -223,3 +223,28 @@ def test_search_in_blocks_and_small_steps_gives_the_same(spark, library, monkeyp
     monkeypatch.setattr(lexical, "BLOCK_CHARS", 12)
     monkeypatch.setattr(lexical, "SCORES_AT_ONCE", 7)
     assert sorted(tuple(r) for r in lexical.search(*tables, k=3).collect()) == want
+
+
+FEW = [(i, "One two two three four", "en", s) for i, s in enumerate("aab")] + [(4, None, "en", "b"), (5, "one", None, None), (6, "", "fr", "a")]
+
+
+def test_divergence_passes_texts_to_tasks_in_small_batches_only(spark, monkeypatch):
+    setting, seen, written = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, divergence.write_and_reload
+
+    def watched(df, name):
+        seen[name] = int(spark.conf.get(setting))
+        return written(df, name)
+
+    monkeypatch.setattr(divergence, "write_and_reload", watched)
+    monkeypatch.setattr(divergence, "COUNTS_AT_ONCE", 3)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "7000")
+    try:
+        docs = spark.createDataFrame(FEW, DOCS)
+        found = divergence.audit(docs)
+        assert spark.conf.get(setting) == "7000"
+    finally:
+        spark.conf.set(setting, before)
+    assert seen["divergence-rows"] == seen["divergence-counts"] == 256
+    assert seen["divergence-sides"] == 7000
+    assert sorted(tuple(r) for r in found.collect()) == brute_audit(FEW)
