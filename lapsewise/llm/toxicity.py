@@ -276,16 +276,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = TRAIN_ROWS, se
             rows = [(s, d, int(y)) for t, d, y in zip(batch["text"], batch["digest"], batch["y"]) for s in map(" ".join, sentences(t))]
             yield pd.DataFrame(rows, columns=["sentence", "digest", "y"])
 
+    # In a task: the vectors of the sentences are several times what the driver needs otherwise.
+    def learn(batches):
+        told = pd.concat([pd.DataFrame(columns=["y", "_place"]), *batches]).sort_values(["y", "_place"])
+        if told["y"].nunique() < 2:
+            return
+        y = np.where(told["y"] > 0, 1.0, -1.0)
+        words, alpha, bias = fit_sentences([s.split(" ") for s in told["sentence"]], y, pd.factorize(told["digest"])[0])
+        yield pd.DataFrame({"words": [words], "alpha": [alpha], "bias": [bias]})
+
     try:
         told = given.where("share > 0").mapInPandas(spread, "sentence string, digest string, y int").where("sentence <> ''")
         told = told.groupBy("sentence").agg(F.min("y").alias("y"), F.min("digest").alias("digest"))
         place = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("sentence"), "sentence"))
-        told = told.withColumn("_place", place).where(F.col("_place") <= TRAIN_SENTENCES).toPandas()  # bounded
-        if told["y"].nunique() < 2:
+        told = told.withColumn("_place", place).where(F.col("_place") <= TRAIN_SENTENCES).repartition(1)  # bounded
+        found = told.mapInPandas(learn, "words array<string>, alpha array<double>, bias double").first()
+        if found is None:
             return None
-        told = told.sort_values(["y", "_place"])
-        y = np.where(told["y"] > 0, 1.0, -1.0)
-        model = fit_sentences([s.split(" ") for s in told["sentence"]], y, pd.factorize(told["digest"])[0])
+        model = list(found.words), np.array(found.alpha), found.bias
         shared = docs.sparkSession.sparkContext.broadcast(model)
 
         def margins(batches):

@@ -117,3 +117,24 @@ def test_the_fit_of_sentences_holds_little_beside_its_vectors():
         tracemalloc.stop()
     # The vectors take 4 bytes for each sentence and landmark; kernels of a part of the words come on top.
     assert peak < 4 * len(rows) * len(chosen) * 4 + 60e6
+
+
+def test_the_driver_does_not_hold_the_vectors_of_the_sentences(spark, monkeypatch):
+    from pyspark import TaskContext
+
+    fit_sentences = toxicity.fit_sentences
+
+    def in_a_task(*given):
+        assert TaskContext.get() is not None
+        return fit_sentences(*given)
+
+    monkeypatch.setattr(toxicity, "fit_sentences", in_a_task)
+    rows = [(i, f"you rotten idiot number{i}" if i % 2 else f"a kind friendly letter number{i}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    words, alpha, bias, limit = toxicity.fit(docs, labels)
+    assert len(words) == len(alpha) and "idiot" in words
+    scored = toxicity.score(docs, (words, alpha, bias, limit)).collect()
+    assert all((r.toxic_score >= 0.5) == (r.doc_id % 2 == 1) for r in scored)
+    # One label alone gives no model.
+    assert toxicity.fit(docs, labels.where("toxic = 0")) is None
