@@ -216,7 +216,7 @@ def _near_in_blocks(placed: DataFrame, sketches: DataFrame, least: float) -> Dat
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
         return near_pairs(cell, least)
 
-    return dealt.groupBy("band", "hash", "low", "high").applyInPandas(compare, "a long, b long").distinct()
+    return dealt.groupBy("band", "hash", "low", "high").applyInPandas(compare, "a long, b long")
 
 
 def near_pairs(cell: pd.DataFrame, least: float) -> pd.DataFrame:
@@ -258,29 +258,41 @@ def similarity(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
-def _with_items(pairs: DataFrame, side: str, sketches: DataFrame) -> DataFrame:
-    """Attach the items of one side; a text in many pairs is handed to several parts."""
+def _busy(pairs: DataFrame) -> DataFrame:
+    """(rep, parts) of the texts in so many pairs that they are handed to several parts."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    parts = ends.groupBy("rep").agg(F.ceil(F.count("*") / EDGES_PER_PART).cast("int").alias("_parts"))
+    return write_and_reload(parts.where("_parts > 1"), "dedup-busy")
+
+
+def _with_items(rows: DataFrame, pairs: DataFrame, busy: DataFrame, side: str, sketches: DataFrame) -> DataFrame:
+    """Attach the items of one side to ``rows`` of the pairs; a text in many pairs is handed to several parts."""
     other = "b" if side == "a" else "a"
-    degree = pairs.groupBy(side).agg(F.ceil(F.count("*") / EDGES_PER_PART).cast("int").alias("_parts"))
-    held = (
-        degree.join(sketches.select(F.col("rep").alias(side), F.col("items").alias(f"{side}_items")), side)
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    )
-    dealt = _spread_join(pairs, degree.where("_parts > 1"), [side], other, "left").withColumn(
+    parts = busy.withColumnRenamed("rep", side)
+    held = pairs.select(side).distinct().join(sketches.select(F.col("rep").alias(side), F.col("items").alias(f"{side}_items")), side)
+    held = held.join(parts, side, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    dealt = _spread_join(rows, parts, [side], other, "left").withColumn(
         "_part", F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")
     )
-    return dealt.drop("_parts").join(held, [side, "_part"]).drop("_part")
+    return dealt.drop("_parts").join(held.drop("_parts"), [side, "_part"]).drop("_part")
+
+
+def _with_both(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs with the items of both sides."""
+    busy = _busy(pairs)
+    return _with_items(_with_items(pairs, pairs, busy, "a", sketches), pairs, busy, "b", sketches)
 
 
 def verified(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    both = _with_items(_with_items(pairs, "a", sketches), "b", sketches)
+    both = _with_both(pairs, sketches)
     return both.where(similarity(F.col("a_items"), F.col("b_items")) >= least).select("a", "b")
 
 
 def _near(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """The pairs that may be alike by their parities."""
     held = sketches.select("rep", F.col("parities").alias("items"))
-    both = _with_items(_with_items(pairs, "a", held), "b", held)
+    pairs = write_and_reload(pairs, "dedup-pairs")
+    both = _with_both(pairs, held)
     return write_and_reload(both.where(most_alike(F.col("a_items"), F.col("b_items")) >= least).select("a", "b"), "dedup-near")
 
 
@@ -290,22 +302,22 @@ def components(edges: DataFrame, name: str = "dedup-components") -> DataFrame:
     def mark(pairs: DataFrame):
         return pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1000003)).first()
 
-    edges = write_and_reload(edges.distinct(), name)
+    before = mark(edges)
     while True:
         both = edges.union(edges.select("b", "a"))
         # Large star: larger neighbours hang on the smallest of the neighbourhood.
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
-        large = write_and_reload(large.where("a <> b").distinct(), name)
+        # Dealt once, for the sums and the join of the next step.
+        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").repartition("b")
         # Small star: smaller neighbours hang on the smallest.
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y"))
         small = small.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        small = write_and_reload(small, name)
-        before, after = mark(edges), mark(small)
-        edges = small
+        edges = write_and_reload(small, name)
+        after = mark(edges)
         if before == after:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
+        before = after
 
 
 def _spaced(text: Column) -> Column:
@@ -330,8 +342,11 @@ def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
     # One digest per id, then one id per digest: a representative stands for one text only.
     counted = marked.groupBy("id").agg(F.min("digest").alias("digest"), (F.min("digest") < F.max("digest")).alias("several"))
     reps = counted.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("several", "id").alias("several"))
-    members = write_and_reload(_spread_join(counted.select("id", "digest"), reps.select("digest", "rep"), ["digest"], "id").select("id", "rep"), "dedup-members")
-    texts = reps.where("digest not like 'id %'").withColumnRenamed("digest", "counted")
+    placed = _spread_join(counted.select("id", "digest"), reps, ["digest"], "id")
+    # The representative's own row tells what is meant by it.
+    own = [F.when(F.col("id") == F.col("rep"), F.col(name)).alias(name) for name in ("digest", "several")]
+    members = write_and_reload(placed.select("id", "rep", *own), "dedup-members")
+    texts = members.where("id = rep and digest not like 'id %'").select("rep", F.col("digest").alias("counted"), "several")
     kept = marked.join(texts, marked["id"] == texts["rep"]).where("digest = counted").dropDuplicates(["rep"])
     # Only an id with several texts needs its digests once more to tell which one is meant.
     meant = F.when(F.col("several"), F.col("digest")).alias("counted")
@@ -344,9 +359,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
         near = further(_still_open(buckets.drop("lead"), comps), sketches, least)
         found = write_and_reload(verified(near, held, least), "dedup-edges")
         if not found.isEmpty():
-            edges = edges.union(found)
-            comps = components(edges)
-    out = _spread_join(members, comps.withColumnRenamed("node", "rep"), ["rep"], "id", "left")
+            comps = components(comps.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(found))
+    out = _spread_join(members.select("id", "rep"), comps.withColumnRenamed("node", "rep"), ["rep"], "id", "left")
     return out.select(F.col("id").alias(key), F.coalesce("comp", "rep").alias("class_id"))
 
 

@@ -103,3 +103,31 @@ def test_large_buckets_make_no_row_per_pair_and_lose_none(spark, monkeypatch):
     counted = spark.createDataFrame([(i, 0, 7, i, 70) for i in range(70)], "rep long, band int, hash long, comp long, texts long")
     plan = dedup._near_in_blocks(counted, sketches, 0.8)._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Join" in line and "comp" in line for line in plan.split("\n"))
+
+
+def test_the_items_of_a_pair_are_attached_with_few_shuffles(spark):
+    # Text 0 is in so many pairs that it is handed to several parts.
+    sketches = spark.range(1200).selectExpr("id as rep", "if(id % 2 = 0, array(1L, 2L, 3L, 4L, 5L), array(id)) as items")
+    pairs = spark.range(1, 1200).selectExpr("0L as a", "id as b").union(spark.createDataFrame([(2, 4), (3, 5)], "a long, b long"))
+    held = dedup.write_bucketed(sketches, "sketches-shuffles", "rep")
+    pairs = dedup.write_and_reload(pairs, "pairs-shuffles")
+    found = dedup.verified(pairs, held, 0.8)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sum("+- Exchange" in line or ":- Exchange" in line for line in plan.split("\n")) <= 6
+    assert sorted(map(tuple, found.collect())) == [(0, b) for b in range(2, 1200, 2)] + [(2, 4)]
+
+
+def test_known_components_are_not_worked_out_again(spark, monkeypatch):
+    rounds, write = [], dedup.write_and_reload
+    monkeypatch.setattr(dedup, "write_and_reload", lambda df, name: (rounds.append(name), write(df, name))[1])
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    found = dedup.components(chain)
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(1, 41)]
+    # Edges that form stars already need one round, and each round writes one table.
+    rounds.clear()
+    stars = found.selectExpr("comp as a", "node as b")
+    assert sorted(map(tuple, dedup.components(stars).collect())) == [(i, 0) for i in range(1, 41)]
+    assert rounds == ["dedup-components"]
+    # A further link between two stars.
+    two = spark.createDataFrame([(0, 3), (0, 7), (1, 5), (1, 6), (5, 7)], "a long, b long")
+    assert sorted(map(tuple, dedup.components(two).collect())) == [(i, 0) for i in (1, 3, 5, 6, 7)]
