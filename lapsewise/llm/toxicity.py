@@ -43,10 +43,12 @@ ROUNDS = 3
 WORDS_AT_ONCE = 128
 #: Places of words in sentences whose vectors are added up together.
 PLACES_AT_ONCE = 4096
+#: Words whose weights a worker remembers, at most.
+KNOWN_WORDS = 400_000
 _INNER = re.compile(r"[\W\d_]+")
 # A mark ends a sentence only before a space: letters with a mark after each (i.d.i.o.t) are one word.
 _ENDS = re.compile(r"[.!?]+\s+|\n+")
-_known: dict[int, dict[str, float]] = {}
+_known: dict[int, WordWeights] = {}
 
 
 def words_of(sentence: str) -> list[str]:
@@ -120,8 +122,9 @@ class Landmarks:
         self.norm = np.sqrt(np.maximum(np.bincount(self.owner, weights=sums**2, minlength=len(words)), 1e-12))
         self.first = np.searchsorted(keys // len(words), np.arange((1 << BITS) + 1)).astype(np.int32)
 
-    def kernel(self, words: list[str]) -> np.ndarray:
-        """Kernel values of words against the landmarks, between 0 and 1."""
+    def overlaps(self, words: list[str]):
+        """A few words at a time, their first and last number: sums over the subsequences shared with each landmark,
+        and the words' own lengths."""
         buckets, weights = subsequences(words)
         used = np.flatnonzero(weights.ravel() > 0)
         row, bucket = used // buckets.shape[1], buckets.ravel()[used].astype(np.int64)
@@ -130,7 +133,7 @@ class Landmarks:
         sums = np.bincount(at, weights=weights.ravel()[used])
         row, bucket = keys >> BITS, keys & ((1 << BITS) - 1)
         norm = np.sqrt(np.maximum(np.bincount(row, weights=sums**2, minlength=len(words)), 1e-12))
-        size, out = len(self.words), np.empty((len(words), len(self.words)))
+        size = len(self.words)
         width = self.first[bucket + 1] - self.first[bucket]
         start = self.first[bucket].astype(np.int64)
         # A few words at a time: what is spread out then stays in the processor's cache.
@@ -145,12 +148,28 @@ class Landmarks:
             at += self.owner[place]
             # Without entries numpy counts in whole numbers.
             part = np.bincount(at, weights=value, minlength=n * size).astype(np.float64, copy=False).reshape(n, size)
-            part /= norm[i : i + n, None]
+            yield i, i + n, part, norm[i : i + n]
+
+    def kernel(self, words: list[str]) -> np.ndarray:
+        """Kernel values of words against the landmarks, between 0 and 1."""
+        out = np.empty((len(words), len(self.words)))
+        for i, j, part, norm in self.overlaps(words):
+            part /= norm[:, None]
             part /= self.norm
             # Few words share subsequences with a landmark, and powers are dear.
             alike = part != 0
             part[alike] = part[alike] ** POWER
-            out[i : i + n] = part
+            out[i:j] = part
+        return out
+
+    def weigh(self, words: list[str], alpha: np.ndarray) -> np.ndarray:
+        """Kernel values times ``alpha``, summed over the landmarks; lengths are divided out before and after."""
+        out, scaled = np.empty(len(words)), alpha / self.norm**POWER
+        for i, j, part, norm in self.overlaps(words):
+            power = part.copy()
+            for _ in range(POWER - 1):
+                power *= part
+            out[i:j] = power @ scaled / norm**POWER
         return out
 
 
@@ -176,11 +195,26 @@ def choose_landmarks(rows: list[list[str]], y: np.ndarray) -> list[str]:
     return list(chosen)
 
 
-def word_weights(words: list[str], index: Landmarks, alpha: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(words))
-    for i in range(0, len(words), 2048):
-        out[i : i + 2048] = index.kernel(words[i : i + 2048]) @ alpha
-    return out
+class WordWeights:
+    """Weights of words; of those remembered, the ones that came again stay when there are too many."""
+
+    def __init__(self, landmarks: list[str], alpha: np.ndarray):
+        self.index, self.alpha = Landmarks(landmarks), alpha
+        self.known: dict[str, float] = {}
+        self.again: set[str] = set()
+
+    def of(self, words: set[str]) -> dict[str, float]:
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            stay = self.again if 4 * len(self.again) < 3 * KNOWN_WORDS else ()
+            self.known, self.again = {w: self.known[w] for w in stay}, set()
+            new = words.difference(self.known)
+        self.again |= words - new
+        ordered = sorted(new)
+        for i in range(0, len(ordered), 2048):
+            some = ordered[i : i + 2048]
+            self.known.update(zip(some, self.index.weigh(some, self.alpha).tolist()))
+        return self.known
 
 
 def fit_sentences(rows: list[list[str]], y: np.ndarray, text: np.ndarray) -> tuple[list[str], np.ndarray, float]:
@@ -239,16 +273,10 @@ def fit_svm(x: np.ndarray, y: np.ndarray, used: np.ndarray) -> np.ndarray:
     return w.astype(np.float64)
 
 
-def text_margins(texts, index: Landmarks, alpha: np.ndarray, bias: float, known: dict[str, float]) -> list[float]:
-    """Largest sentence margin of each text, -3 without words. ``known`` remembers the weights of words."""
+def text_margins(texts, weights: WordWeights, bias: float) -> list[float]:
+    """Largest sentence margin of each text, -3 without words."""
     found = [sentences(t) for t in texts]
-    new = set().union(*(words for rows in found for words in rows)).difference(known)
-    if len(known) + len(new) > 400_000:
-        known.clear()
-        new = set().union(*(words for rows in found for words in rows))
-    new = sorted(new)
-    known.update(zip(new, word_weights(new, index, alpha).tolist()))
-    weight = known.__getitem__
+    weight = weights.of(set().union(*(words for rows in found for words in rows))).__getitem__
     return [max((sum(map(weight, words)) for words in rows), default=-3.0 - bias) + bias for rows in found]
 
 
@@ -298,9 +326,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = TRAIN_ROWS, se
 
         def margins(batches):
             words, alpha, bias = shared.value
-            index, known = Landmarks(words), {}
+            weights = WordWeights(words, alpha)
             for batch in batches:
-                yield pd.DataFrame({"m": text_margins(batch["text"], index, alpha, bias, known), "y": batch["y"]})
+                yield pd.DataFrame({"m": text_margins(batch["text"], weights, bias), "y": batch["y"]})
 
         unseen = given.where("share = 0")
         held = [tuple(r) for r in unseen.mapInPandas(margins, "m double, y int").collect()]  # bounded
@@ -334,9 +362,8 @@ def score(docs: DataFrame, model, text: str = "text", out: str = "toxic_score")
         key = hash((tuple(words), alpha.tobytes()))
         if key not in _known:
             _known.clear()
-            _known[key] = (Landmarks(words), {})
-        index, known = _known[key]
-        margins = np.array(text_margins(texts, index, alpha, bias, known))
+            _known[key] = WordWeights(words, alpha)
+        margins = np.array(text_margins(texts, _known[key], bias))
         return pd.Series(common.sigmoid(4 * (margins - limit)))
 
     return docs.withColumn(out, run(F.col(text)))

@@ -138,3 +138,19 @@ def test_the_driver_does_not_hold_the_vectors_of_the_sentences(spark, monkeypatc
     assert all((r.toxic_score >= 0.5) == (r.doc_id % 2 == 1) for r in scored)
     # One label alone gives no model.
     assert toxicity.fit(docs, labels.where("toxic = 0")) is None
+
+
+def test_words_that_came_again_are_weighed_once(monkeypatch):
+    weighed, subsequences = [], toxicity.subsequences
+    monkeypatch.setattr(toxicity, "subsequences", lambda words: (weighed.extend(words), subsequences(words))[1])
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 60)
+    landmarks, alpha = ["wordless", "swordfish", "abide"], np.array([0.5, -1.0, 2.0])
+    weights, common = toxicity.WordWeights(landmarks, alpha), [f"sword{a}ide" for a in "abcdefgh"]
+    kernel = toxicity.Landmarks(landmarks).kernel
+    weighed.clear()
+    for i in range(40):
+        words = {*common, *(f"word{chr(97 + i % 26)}{i}{b}" for b in "abcdefghij")}
+        known = weights.of(words)
+        assert words <= known.keys() and len(known) <= 60
+    assert all(weighed.count(word) == 1 for word in common) and len(weighed) == 8 + 400
+    assert np.allclose([known[w] for w in sorted(words)], kernel(sorted(words)) @ alpha, rtol=1e-12, atol=1e-12)
