@@ -1,6 +1,7 @@
 """A sweep that is stopped goes on where it ended; its rows do not depend on that."""
 
 import pytest
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from lapsewise.operators.cleaning import clean
@@ -118,3 +119,40 @@ def test_forests_remember_nodes_and_grow_the_same_trees(spark, table):
         trees.append(est.fit(prepared.fitted(None)).toDebugString.split("\n", 1)[1])
     prepared.close()
     assert trees[0] == trees[1]
+
+
+def test_a_fold_score_leaves_the_trees_in_the_jvm(spark, table, monkeypatch):
+    """PySpark's class for a forest asks the JVM for every tree, while the other fits wait."""
+    prepared = modelling.prepare(modelling.model_frame(table, KEPT, True), KEPT, Training(folds=2))
+    settings = {"RandomForestClassifier": {"numTrees": 4}, "GBTClassifier": {"maxIter": 2}, "LinearSVC": {"maxIter": 2}}
+    evaluator = modelling.MulticlassClassificationEvaluator(labelCol="churn", metricName="f1")
+    expected = {}
+    for kind, params in settings.items():
+        model = modelling.classifier(kind, **params).fit(prepared.fitted(0))
+        expected[kind] = evaluator.evaluate(model.transform(prepared.held(0)))
+
+    class Unwanted:
+        def __get__(self, model, kind=None):
+            if model is not None:
+                raise AssertionError("the trees were asked for")
+
+    for wrapped in (RandomForestClassificationModel, GBTClassificationModel):
+        monkeypatch.setattr(wrapped, "trees", Unwanted())
+    found = {kind: modelling.fold_score(prepared, modelling.classifier(kind, **params), {}, 0) for kind, params in settings.items()}
+    prepared.close()
+    assert found == expected
+
+
+def test_long_fits_begin_first(spark, table, monkeypatch):
+    order = []
+    monkeypatch.setattr(modelling, "fold_score", lambda prepared, est, *_: order.append(type(est).__name__) or 0.5)
+    kinds = ["LogisticRegression", "RandomForestClassifier", "LinearSVC"]
+    training = Training(kinds=kinds, folds=2, parallelism=1)
+    found = modelling.grid_scores(table, KEPT, 2, training).collect()
+    assert [r.model for r in found] == kinds
+    longest = ["LinearSVC"] * 2 + ["RandomForestClassifier"] * 2 + ["LogisticRegression"] * 2
+    assert order == longest
+    order.clear()
+    monkeypatch.setattr(modelling.SweepRound, "finish", lambda self, kind, scores: {n: None for n in modelling.METRIC_SCHEMA.names} | {"model": kind, "num_best_features": len(self.features), "seed": 42})
+    modelling.sweep(table, KEPT, [2, 3], training, jobs=new_path(spark, "jobs"))
+    assert order == longest * 2
