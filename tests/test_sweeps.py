@@ -1,5 +1,8 @@
 """A sweep that is stopped goes on where it ended; its rows do not depend on that."""
 
+import time
+from threading import Lock
+
 import pytest
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import functions as F
@@ -156,3 +159,29 @@ def test_long_fits_begin_first(spark, table, monkeypatch):
     monkeypatch.setattr(modelling.SweepRound, "finish", lambda self, kind, scores: {n: None for n in modelling.METRIC_SCHEMA.names} | {"model": kind, "num_best_features": len(self.features), "seed": 42})
     modelling.sweep(table, KEPT, [2, 3], training, jobs=new_path(spark, "jobs"))
     assert order == longest * 2
+
+
+def test_fewer_fits_at_once_on_many_rows(table, monkeypatch):
+    training = Training(kinds=["RandomForestClassifier"], folds=5, parallelism=6)
+    running, most, lock = [], [], Lock()
+
+    def slow(*_):
+        with lock:
+            running.append(1)
+            most.append(len(running))
+        time.sleep(0.2)
+        with lock:
+            running.pop()
+        return 0.5
+
+    monkeypatch.setattr(modelling, "fold_score", slow)
+    modelling.grid_scores(table, KEPT, 2, training)
+    assert max(most) == 5
+    most.clear()
+    monkeypatch.setattr(modelling, "ROWS_PER_PARTITION", 2)
+    modelling.grid_scores(table, KEPT, 2, training)
+    assert max(most) == 2
+    monkeypatch.undo()
+    rows = modelling.ROWS_PER_PARTITION
+    assert [Training().at_once(n) for n in (0, rows, 2 * rows, 8 * rows, 80 * rows)] == [16, 16, 8, 2, 2]
+    assert Training(parallelism=1).at_once(8 * rows) == 1
